@@ -13,6 +13,8 @@ and cast to BIGINT here; ``RLIKE`` ↔ ``regexp_matches``.
 
 from __future__ import annotations
 
+import re
+
 from ..sources.fixtures import FIXTURES, duckdb_cte
 
 AS_OF = "DATE '2026-02-17'"
@@ -25,6 +27,38 @@ def cte(name: str, sql: str, *deps: str) -> None:
     CTES[name] = (sql.strip(), deps)
 
 
+def _spark_round(sql: str) -> str:
+    """Rewrite ``round(x, d)`` to Spark's rounding of doubles: HALF_UP applied to the
+    shortest decimal text of ``x`` (DuckDB's own ``round`` scales in binary and
+    differs on ties such as the mean of 0.046 and 0.071)."""
+    out, i = [], 0
+    pat = re.compile(r"(?<![A-Za-z0-9_])round\(", re.IGNORECASE)
+    while True:
+        m = pat.search(sql, i)
+        if not m:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:m.start()])
+        depth, j, comma = 1, m.end(), -1
+        while depth:
+            ch = sql[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = j
+            j += 1
+        inner_end = j - 1
+        if comma < 0:
+            out.append(sql[m.start():j])
+        else:
+            arg = _spark_round(sql[m.end():comma])
+            digits = sql[comma + 1:inner_end].strip()
+            out.append(f"CAST(round(CAST(CAST(({arg}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)")
+        i = j
+
+
 def compose(final_sql: str, *deps: str) -> str:
     order: list[str] = []
 
@@ -38,9 +72,9 @@ def compose(final_sql: str, *deps: str) -> str:
     for d in deps:
         visit(d)
     if not order:
-        return final_sql.strip()
+        return _spark_round(final_sql.strip())
     body = ",\n".join(f"{n} AS (\n{CTES[n][0]}\n)" for n in order)
-    return f"WITH {body}\n{final_sql.strip()}"
+    return _spark_round(f"WITH {body}\n{final_sql.strip()}")
 
 
 # ── fixture views ─────────────────────────────────────────────────────────────

@@ -25,6 +25,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, memory:
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cores)
     conf["spark.driver.memory"] = memory
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
