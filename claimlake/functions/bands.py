@@ -71,3 +71,18 @@ def month_key(d: Column) -> Column:
 
 def date_key(d: Column) -> Column:
     return F.date_format(d, "yyyyMMdd").cast("int")
+
+
+# Money accumulation: each value is taken at 10 decimals and summed as DECIMAL,
+# which is exact, so the total does not depend on partitioning or summation
+# order (a double sum can differ in its last bit between runs and flip a
+# subsequent ROUND on values such as 1172.27705).
+MONEY_DECIMAL = "decimal(38,10)"
+
+
+def money_sum(col: Column) -> Column:
+    return F.sum(col.cast(MONEY_DECIMAL)).cast("double")
+
+
+def money_avg(col: Column) -> Column:
+    return money_sum(col) / F.count(col)

@@ -11,9 +11,10 @@ from datetime import date, datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import features, quality, silver, star, summary
-from ..sources import fixtures
+from ..operators import billing, features, quality, silver, star, summary
+from ..sources import fixtures, incremental
 
 AS_OF = date(2026, 2, 17)
 RUN_TS = datetime(2026, 2, 17, 6, 0, 0)
@@ -72,3 +73,40 @@ class Lake:
     @cached_property
     def fraud_summary(self) -> DataFrame:
         return summary.summary_fraud_intelligence(self.silver("claims"))
+
+    # billing / performance system tables (derived from the given events table)
+    @cached_property
+    def usage(self) -> DataFrame:
+        v = self.view("usage")
+        ids = ("job_name", "notebook_path", "dlt_pipeline_id")
+        return v.select(*[c for c in v.columns if c not in ids], F.struct(*ids).alias("usage_metadata"))
+
+    @cached_property
+    def list_prices(self) -> DataFrame:
+        v = self.view("list_prices")
+        pricing = F.struct(F.struct(F.col("price_default").alias("default")).alias("effective_list"))
+        return v.select("sku_name", "price_start_time", "price_end_time", pricing.alias("pricing"))
+
+    @cached_property
+    def fx(self) -> DataFrame:
+        return self.view("fx_rates_usd_gbp")
+
+    @cached_property
+    def run_timeline(self) -> DataFrame:
+        v = self.view("run_timeline")
+        return v.withColumn("period_end_time", F.col("period_start_time") + F.make_dt_interval(
+            secs=F.col("duration_s").cast("decimal(18,6)")))
+
+    @cached_property
+    def pipelines(self) -> DataFrame:
+        return incremental.replace_dedup(self.run_timeline, ["pipeline_id"], "pipeline_name",
+                                         "period_start_time", alias="name")
+
+    @cached_property
+    def query_history(self) -> DataFrame:
+        v = self.view("query_history")
+        return v.withColumn("end_time", F.col("start_time") + F.make_dt_interval(
+            secs=F.col("duration_s").cast("decimal(18,6)")))
+
+    def priced_usage(self, start=None, end=None) -> DataFrame:
+        return billing.priced_usage(self.usage, self.list_prices, self.fx, start, end)
