@@ -68,7 +68,7 @@ register(
     _timeline_enriched,
     q("""SELECT * EXCLUDE (duration_s) FROM timeline_target
 WHERE CAST(period_start_time AS DATE) < (SELECT cut FROM timeline_cut)
-UNION ALL
+UNION ALL BY NAME
 SELECT t.* EXCLUDE (duration_s, pipeline_name), p.name AS pipeline_name
 FROM timeline t LEFT JOIN pipelines p ON t.pipeline_id = p.pipeline_id
 WHERE CAST(t.period_start_time AS DATE) >= (SELECT cut FROM timeline_cut)""",
