@@ -1 +1,314 @@
-"""Registered queries: ml."""
+"""Registered queries: severity model (prepare, split, weights, train, score, metrics, gates) and monitoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.bands import LABELS, severity_label
+from ..operators import features, model, monitor
+from ..session import scratch_path
+from .lake import Lake
+from .oracle_sql import RUN_TS, cte
+from .registry import q, register
+
+FEATURES = features.FEATURE_COLS
+LABEL = features.TARGET_COL
+GATE_SQL = ", ".join(f"('{g}', {t!r})" for g, t in model.GATES.items())
+
+
+# ── Spark-side inputs ─────────────────────────────────────────────────────────
+def _ml_features(lk: Lake):
+    """One row per claim (first incident) so the split key is unique."""
+    return features.claim_features(
+        lk.silver("claims"), lk.silver("policies"), lk.silver("policyholders"), lk.silver("vehicles"),
+        lk.silver("incidents"), lk.silver("claim_assessments"), incident_mode="first")
+
+
+def _prepared(lk: Lake):
+    return model.prepare_training(_ml_features(lk), FEATURES, LABEL, keys=["claim_id"])
+
+
+def _split(lk: Lake):
+    return model.stratified_split(_prepared(lk), LABEL, "claim_id", 0.2, 42)
+
+
+def _predictions(lk: Lake):
+    """Prediction log derived from the events table, with the four class probabilities."""
+    v = lk.view("claim_predictions")
+    mid = F.abs(1 - F.col("prob_minor") - F.col("prob_total_loss")) / 2
+    return v.select("claim_id", "severity_encoded", "predicted_severity",
+                    severity_label(F.col("predicted_severity")).alias("predicted_severity_label"),
+                    "prob_minor", mid.alias("prob_moderate"), mid.alias("prob_severe"), "prob_total_loss",
+                    "model_version", "scored_at")
+
+
+_MODELS: dict = {}
+
+
+def _trained(lk: Lake):
+    """Train once per (session, folder) on the weighted training split."""
+    key = (id(lk.spark), lk.sf_dir)
+    if key not in _MODELS:
+        train = model.with_class_weights(_split(lk).filter(~F.col("is_test")), LABEL)
+        _MODELS[key] = model.train_severity(train, FEATURES, LABEL)
+    return _MODELS[key]
+
+
+# ── oracle CTEs ───────────────────────────────────────────────────────────────
+cte("prepared", ", ".join(["SELECT claim_id"] + [f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in FEATURES])
+    + f", CAST({LABEL} AS INTEGER) AS {LABEL} FROM claim_features_first WHERE {LABEL} IS NOT NULL",
+    "claim_features_first")
+cte("preds", """
+SELECT claim_id, severity_encoded, predicted_severity,
+  CASE predicted_severity WHEN 0 THEN 'minor' WHEN 1 THEN 'moderate' WHEN 2 THEN 'severe' ELSE 'total_loss' END
+    AS predicted_severity_label,
+  prob_minor, abs(1 - prob_minor - prob_total_loss) / 2 AS prob_moderate,
+  abs(1 - prob_minor - prob_total_loss) / 2 AS prob_severe, prob_total_loss, model_version, scored_at
+FROM fx_claim_predictions""", "fx_claim_predictions")
+cte("pred_cm", """
+SELECT severity_encoded AS actual, predicted_severity AS predicted, COUNT(*) AS n FROM preds
+WHERE severity_encoded IS NOT NULL GROUP BY 1, 2""", "preds")
+cte("pred_stats", """
+SELECT cls, CAST(SUM(tp) AS BIGINT) AS tp, CAST(SUM(sup) AS BIGINT) AS support, CAST(SUM(pr) AS BIGINT) AS predicted
+FROM (SELECT actual AS cls, CASE WHEN actual = predicted THEN n ELSE 0 END AS tp, n AS sup, 0 AS pr FROM pred_cm
+      UNION ALL SELECT predicted, 0, 0, n FROM pred_cm) GROUP BY cls""", "pred_cm")
+cte("pred_f1", """
+SELECT *, coalesce(tp / NULLIF(predicted, 0), 0.0) AS precision, coalesce(tp / NULLIF(support, 0), 0.0) AS recall,
+  2 * tp / (support + predicted) AS f1 FROM pred_stats""", "pred_stats")
+cte("pred_metrics", "SELECT SUM(tp) / SUM(support) AS accuracy, SUM(f1 * support) / SUM(support) AS f1_weighted, "
+    "AVG(f1) AS f1_macro, " + ", ".join(f"MAX(CASE WHEN cls = {i} THEN f1 END) AS f1_{n}" for i, n in enumerate(LABELS))
+    + ", CAST(SUM(support) AS BIGINT) AS support FROM pred_f1", "pred_f1")
+
+_GRAINS = "[{'granularity': '1 day', 'window_start': date_trunc('day', scored_at)}, " \
+          "{'granularity': '1 week', 'window_start': date_trunc('week', scored_at)}]"
+cte("preds_w", f"SELECT * EXCLUDE (_w), _w.granularity, _w.window_start FROM (SELECT *, unnest({_GRAINS}) AS _w FROM preds)",
+    "preds")
+cte("preds_long", "\nUNION ALL\n".join(
+    f"SELECT granularity, window_start, predicted_severity_label, model_version, '{c}' AS column_name, "
+    f"CAST({c} AS DOUBLE) AS value FROM preds_w" for c in monitor.PROFILE_COLUMNS), "preds_w")
+
+
+def _drift_bin(c: str) -> str:
+    return f"CAST(least(floor({c} * 10), 9) AS BIGINT)" if c.startswith("prob_") else f"CAST({c} AS BIGINT)"
+
+
+cte("drift_counts", "SELECT window_start, column_name, bin, COUNT(*) AS n FROM (" + "\nUNION ALL\n".join(
+    f"SELECT date_trunc('day', scored_at) AS window_start, '{c}' AS column_name, {_drift_bin(c)} AS bin "
+    f"FROM preds WHERE {c} IS NOT NULL" for c in monitor.DRIFT_COLUMNS) + ") GROUP BY 1, 2, 3", "preds")
+cte("drift", """
+WITH pairs AS (
+  SELECT * FROM (SELECT column_name, window_start,
+                        lag(window_start) OVER (PARTITION BY column_name ORDER BY window_start) AS prev_window
+                 FROM (SELECT DISTINCT column_name, window_start FROM drift_counts)) WHERE prev_window IS NOT NULL),
+cur AS (SELECT c.* FROM drift_counts c JOIN pairs USING (column_name, window_start)),
+prv AS (SELECT p.column_name, pairs.window_start, p.bin, p.n AS n_prev FROM drift_counts p
+        JOIN pairs ON p.column_name = pairs.column_name AND p.window_start = pairs.prev_window),
+b AS (SELECT coalesce(c.column_name, v.column_name) AS column_name, coalesce(c.window_start, v.window_start) AS window_start,
+             coalesce(c.n, 0) AS n, coalesce(v.n_prev, 0) AS n_prev
+      FROM cur c FULL OUTER JOIN prv v ON c.column_name = v.column_name AND c.window_start = v.window_start AND c.bin = v.bin),
+s AS (SELECT *, SUM(n) OVER g AS nn, SUM(n_prev) OVER g AS mm, COUNT(*) OVER g AS k FROM b
+      WINDOW g AS (PARTITION BY column_name, window_start)),
+pq AS (SELECT *, (n + 1e-6) / (nn + 1e-6 * k) AS p, (n_prev + 1e-6) / (mm + 1e-6 * k) AS q FROM s),
+agg AS (SELECT column_name, window_start, SUM(p * ln(p / q)) AS kl_divergence,
+          sqrt(greatest(0.0, 0.5 * SUM(p * ln(p / ((p + q) / 2))) + 0.5 * SUM(q * ln(q / ((p + q) / 2))))) AS js_distance,
+          SUM(pow(n - nn * q, 2) / (nn * q)) AS chi_squared, CAST(MAX(nn) AS BIGINT) AS count,
+          CAST(MAX(mm) AS BIGINT) AS count_prev
+        FROM pq GROUP BY 1, 2)
+SELECT *, '1 day' AS granularity, js_distance > 0.1 AS drift_detected,
+  CASE WHEN js_distance < 0.05 THEN 'none' WHEN js_distance <= 0.1 THEN 'mild' ELSE 'significant' END AS drift_severity
+FROM agg""", "drift_counts")
+cte("profile", """
+SELECT granularity, window_start,
+  CASE WHEN GROUPING(predicted_severity_label) = 0 THEN 'predicted_severity_label'
+       WHEN GROUPING(model_version) = 0 THEN 'model_version' ELSE 'all' END AS slice_key,
+  CASE WHEN GROUPING(predicted_severity_label) = 0 THEN predicted_severity_label
+       WHEN GROUPING(model_version) = 0 THEN model_version END AS slice_value,
+  column_name, COUNT(*) AS count, count_if(value IS NULL) * CAST(100.0 AS DOUBLE) / COUNT(*) AS percent_null,
+  AVG(value) AS mean, stddev_samp(value) AS std_dev, MIN(value) AS min_value, MAX(value) AS max_value
+FROM preds_long
+GROUP BY GROUPING SETS ((granularity, window_start, column_name),
+                        (granularity, window_start, column_name, predicted_severity_label),
+                        (granularity, window_start, column_name, model_version))""", "preds_long")
+
+# ── 2.8 model ─────────────────────────────────────────────────────────────────
+register(
+    "class_distribution",
+    lambda lk: model.class_distribution(lk.claim_features, LABEL),
+    q(f"""SELECT {LABEL}, COUNT(*) AS count, round(COUNT(*) / (SELECT COUNT(*) FROM claim_features WHERE {LABEL} IS NOT NULL) * 100, 2) AS pct
+FROM claim_features WHERE {LABEL} IS NOT NULL GROUP BY 1""", "claim_features"),
+)
+register("prepare_training", _prepared, q("SELECT * FROM prepared", "prepared"))
+register(
+    "stratified_split",
+    lambda lk: _split(lk).select("claim_id", LABEL, "is_test"),
+    q(f"""SELECT claim_id, {LABEL},
+  row_number() OVER (PARTITION BY {LABEL} ORDER BY md5(claim_id || '|42'), claim_id)
+    <= (COUNT(*) OVER (PARTITION BY {LABEL}) * 20 + 50) // 100 AS is_test
+FROM prepared""", "prepared"),
+)
+register(
+    "class_weights",
+    lambda lk: model.class_weights(_split(lk).filter(~F.col("is_test")), LABEL),
+    q(f"""WITH tr AS (SELECT * FROM (SELECT {LABEL}, row_number() OVER (PARTITION BY {LABEL} ORDER BY md5(claim_id || '|42'), claim_id)
+    <= (COUNT(*) OVER (PARTITION BY {LABEL}) * 20 + 50) // 100 AS is_test FROM prepared) WHERE NOT is_test),
+c AS (SELECT {LABEL}, COUNT(*) AS n_c FROM tr GROUP BY 1)
+SELECT {LABEL}, n_c, (SELECT COUNT(*) FROM tr) / ((SELECT COUNT(*) FROM c) * n_c) AS weight FROM c""", "prepared"),
+    rounded=("weight",),
+)
+register(
+    "train_severity",
+    lambda lk: model.score_claims(_split(lk).filter(F.col("is_test")), _trained(lk),
+                                  keep=["claim_id", LABEL]).select("claim_id", LABEL, F.size("probs").alias("classes")),
+    None,
+)
+register(
+    "score_claims",
+    lambda lk: model.decode_prediction(model.score_claims(_prepared(lk), _trained(lk), keep=["claim_id", LABEL]),
+                                       "1", lk.run_ts),
+    None,
+)
+register(
+    "feature_importance",
+    lambda lk: model.feature_importance(lk.spark, _trained(lk), FEATURES, 10),
+    None,
+)
+register(
+    "confusion_matrix",
+    lambda lk: model.confusion_matrix(_predictions(lk), "severity_encoded", "predicted_severity"),
+    q("SELECT * FROM pred_cm", "pred_cm"),
+)
+register(
+    "classification_metrics",
+    lambda lk: model.classification_metrics(model.confusion_matrix(_predictions(lk), "severity_encoded",
+                                                                   "predicted_severity")),
+    q("SELECT * FROM pred_metrics", "pred_metrics"),
+    rounded=("f1_weighted", "f1_macro"),
+)
+register(
+    "classification_report",
+    lambda lk: model.classification_report(model.confusion_matrix(_predictions(lk), "severity_encoded",
+                                                                  "predicted_severity")),
+    q("""SELECT CASE cls WHEN 0 THEN 'minor' WHEN 1 THEN 'moderate' WHEN 2 THEN 'severe' ELSE 'total_loss' END AS label,
+  precision, recall, f1, support FROM pred_f1
+UNION ALL SELECT 'accuracy', NULL, NULL, SUM(tp) / SUM(support), CAST(SUM(support) AS BIGINT) FROM pred_f1
+UNION ALL SELECT 'macro avg', AVG(precision), AVG(recall), AVG(f1), CAST(SUM(support) AS BIGINT) FROM pred_f1
+UNION ALL SELECT 'weighted avg', SUM(precision * support) / SUM(support), SUM(recall * support) / SUM(support),
+  SUM(f1 * support) / SUM(support), CAST(SUM(support) AS BIGINT) FROM pred_f1""", "pred_f1"),
+    rounded=("precision", "recall", "f1"),
+)
+
+
+def _registry(lk: Lake):
+    reg = model.ModelRegistry(lk.spark, scratch_path(lk.spark, "model-registry"), "claim_severity_classifier")
+    versions = (_predictions(lk).groupBy(F.col("model_version").cast("int").alias("version"))
+                .agg(F.min("scored_at").alias("event_ts"))
+                .withColumn("artifact_path", F.concat(F.lit("models/v"), F.col("version").cast("string"))))
+    reg.register_versions(versions)
+    reg.set_alias_to_latest("champion")
+    return reg.resolve("champion")
+
+
+register(
+    "model_registry",
+    _registry,
+    q("""SELECT 'claim_severity_classifier' AS model_name, 'champion' AS alias, MAX(CAST(model_version AS INTEGER)) AS version,
+  'models/v' || CAST(MAX(CAST(model_version AS INTEGER)) AS VARCHAR) AS artifact_path FROM preds""", "preds"),
+)
+register(
+    "decode_prediction",
+    lambda lk: model.decode_prediction(
+        _predictions(lk).select("claim_id", "severity_encoded", F.array(
+            "prob_minor", "prob_moderate", "prob_severe", "prob_total_loss").alias("probs")), "7", lk.run_ts),
+    q(f"""SELECT claim_id, severity_encoded, probs[1] AS prob_minor, probs[2] AS prob_moderate, probs[3] AS prob_severe,
+  probs[4] AS prob_total_loss, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) AS predicted_severity,
+  CASE list_position(probs, list_max(probs)) - 1 WHEN 0 THEN 'minor' WHEN 1 THEN 'moderate' WHEN 2 THEN 'severe'
+       ELSE 'total_loss' END AS predicted_severity_label, '7' AS model_version, {RUN_TS} AS scored_at
+FROM (SELECT claim_id, severity_encoded, [prob_minor, prob_moderate, prob_severe, prob_total_loss] AS probs FROM preds)""",
+      "preds"),
+)
+register(
+    "offline_accuracy",
+    lambda lk: model.offline_accuracy(_predictions(lk)),
+    q("""SELECT COUNT(*) AS total, count_if(severity_encoded = predicted_severity) AS correct,
+  count_if(severity_encoded = predicted_severity) / COUNT(*) AS accuracy, """ + ", ".join(
+        f"count_if(severity_encoded = {i} AND predicted_severity = {i}) / NULLIF(count_if(severity_encoded = {i}), 0) "
+        f"AS accuracy_{n}" for i, n in enumerate(LABELS)) + " FROM preds", "preds"),
+)
+register(
+    "predictions_summary",
+    lambda lk: model.predictions_summary(_predictions(lk)),
+    q("""SELECT predicted_severity_label, COUNT(*) AS predictions,
+  round(AVG(CASE WHEN predicted_severity = severity_encoded THEN 1.0 ELSE 0.0 END), 3) AS accuracy,
+  round(AVG(prob_total_loss), 4) AS avg_total_loss_confidence FROM preds GROUP BY 1""", "preds"),
+)
+register(
+    "validation_gates",
+    lambda lk: model.validation_gates(model.classification_metrics(
+        model.confusion_matrix(_predictions(lk), "severity_encoded", "predicted_severity"))),
+    q(f"""WITH g AS (SELECT * FROM (VALUES {GATE_SQL}) t(gate, threshold)),
+s AS (SELECT g.gate, CASE g.gate WHEN 'accuracy' THEN m.accuracy WHEN 'f1_weighted' THEN m.f1_weighted
+                                WHEN 'f1_macro' THEN m.f1_macro ELSE m.f1_total_loss END AS score,
+             CAST(g.threshold AS DOUBLE) AS threshold FROM g, pred_metrics m)
+SELECT gate, score, threshold, coalesce(score >= threshold, FALSE) AS passed FROM s
+UNION ALL SELECT 'overall', NULL, NULL, bool_and(coalesce(score >= threshold, FALSE)) FROM s""", "pred_metrics"),
+    rounded=("score",),
+)
+
+# ── 2.8 monitoring ────────────────────────────────────────────────────────────
+_SLICES = ["predicted_severity_label", "model_version"]
+
+
+def _profile(lk: Lake):
+    return monitor.monitor_profile(_predictions(lk), "scored_at", monitor.PROFILE_COLUMNS, _SLICES)
+
+
+register("monitor_profile", _profile, q("SELECT * FROM profile", "profile"),
+         rounded=("percent_null", "mean", "std_dev"))
+register(
+    "monitor_quality",
+    lambda lk: monitor.monitor_quality(_predictions(lk), "scored_at", "severity_encoded", "predicted_severity",
+                                       ["model_version"]),
+    q("""WITH cm AS (
+  SELECT granularity, window_start, model_version, severity_encoded AS actual, predicted_severity AS predicted, COUNT(*) AS n
+  FROM preds_w WHERE severity_encoded IS NOT NULL GROUP BY GROUPING SETS ((granularity, window_start, actual, predicted),
+                               (granularity, window_start, model_version, actual, predicted))),
+cmg AS (SELECT *, CASE WHEN model_version IS NULL THEN 'all' ELSE 'model_version' END AS slice_key FROM cm),
+st AS (SELECT granularity, window_start, slice_key, model_version AS slice_value, cls, SUM(tp) AS tp, SUM(sup) AS support,
+              SUM(pr) AS predicted
+       FROM (SELECT *, actual AS cls, CASE WHEN actual = predicted THEN n ELSE 0 END AS tp, n AS sup, 0 AS pr FROM cmg
+             UNION ALL SELECT *, predicted, 0, 0, n FROM cmg) GROUP BY 1, 2, 3, 4, 5),
+f AS (SELECT *, 2 * tp / (support + predicted) AS f1 FROM st)
+SELECT granularity, window_start, slice_key, slice_value, SUM(tp) / SUM(support) AS accuracy,
+  SUM(f1 * support) / SUM(support) AS f1_weighted, AVG(f1) AS f1_macro, """ + ", ".join(
+        f"MAX(CASE WHEN cls = {i} THEN f1 END) AS f1_{n}" for i, n in enumerate(LABELS))
+      + """, CAST(SUM(support) AS BIGINT) AS support FROM f GROUP BY 1, 2, 3, 4""", "preds_w"),
+    rounded=("accuracy", "f1_weighted", "f1_macro", *[f"f1_{n}" for n in LABELS]),
+)
+register(
+    "monitor_drift",
+    lambda lk: monitor.monitor_drift(_predictions(lk), "scored_at", monitor.DRIFT_COLUMNS, "1 day"),
+    q("SELECT * FROM drift", "drift"),
+    rounded=("kl_divergence", "js_distance", "chi_squared"),
+)
+register(
+    "drift_severity",
+    lambda lk: monitor.monitor_drift(_predictions(lk), "scored_at", monitor.DRIFT_COLUMNS, "1 day").groupBy(
+        "column_name", "drift_severity").agg(F.count(F.lit(1)).alias("windows")),
+    q("SELECT column_name, drift_severity, COUNT(*) AS windows FROM drift GROUP BY 1, 2", "drift"),
+)
+register(
+    "drift_report",
+    lambda lk: monitor.drift_report(monitor.monitor_drift(_predictions(lk), "scored_at", monitor.DRIFT_COLUMNS,
+                                                          "1 day"), 30),
+    q("""SELECT window_start AS "window", column_name, round(js_distance, 4) AS js_distance,
+  round(kl_divergence, 4) AS kl_divergence, drift_detected FROM drift
+ORDER BY "window" DESC, js_distance DESC, column_name LIMIT 30""", "drift"),
+)
+register(
+    "profile_report",
+    lambda lk: monitor.profile_report(_profile(lk), 50),
+    q("""SELECT window_start AS "window", granularity, column_name, round(percent_null, 2) AS pct_null, round(mean, 4) AS mean,
+  round(std_dev, 4) AS std_dev, round(min_value, 4) AS min, round(max_value, 4) AS max FROM profile
+WHERE slice_key = 'all' ORDER BY "window" DESC, granularity, column_name LIMIT 50""", "profile"),
+)
+

@@ -74,7 +74,10 @@ def compose(final_sql: str, *deps: str) -> str:
     if not order:
         return _spark_round(final_sql.strip())
     body = ",\n".join(f"{n} AS (\n{CTES[n][0]}\n)" for n in order)
-    return _spark_round(f"WITH {body}\n{final_sql.strip()}")
+    final = final_sql.strip()
+    if re.match(r"(?i)^with\s", final):  # merge the final query's own CTEs into one WITH list
+        return _spark_round(f"WITH {body},\n{final[5:]}")
+    return _spark_round(f"WITH {body}\n{final}")
 
 
 # ── fixture views ─────────────────────────────────────────────────────────────
