@@ -48,16 +48,23 @@ def _split_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
 
 
-def stratified_split(f: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42) -> DataFrame:
+def stratified_split(f: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42,
+                     materialize: bool = True) -> DataFrame:
     """Exact per-class split: of the n_c rows of class c, the round(test·n_c) rows with the
     smallest ``md5(key|seed)`` go to test.  Re-runnable and independent of partitioning.
 
-    Scale: no window over a whole class.  Rows are counted per (class, hash
-    bucket) — at most classes × 65 536 rows — a running count over that small
-    histogram finds the boundary bucket of each class, and only the rows of
-    the boundary bucket (≈ n_c / 65 536) are ranked exactly.
+    Scale: no window over a whole class and no full shuffle.  Rows are counted
+    per (class, hash bucket) — at most classes × 65 536 rows, partially
+    aggregated on the mappers — and a running count over that small histogram
+    finds each class's boundary bucket.  Rows below it are test, above it train
+    (a broadcast join and a filter); only the rows of the boundary bucket
+    (≈ n_c / 65 536) are ranked exactly.  The input is read twice, so it is
+    checkpointed first (reliable checkpoint in the shared folder).
     """
     pct = int(round(test * 100))
+    if materialize:
+        checkpoint_dir(f.sparkSession)
+        f = f.checkpoint(eager=True)
     h = f.withColumn("_h", _split_hash(F.col(key), seed)).withColumn(
         "_b", F.substring("_h", 1, SPLIT_BUCKET_HEX))
     hist = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -65,19 +72,18 @@ def stratified_split(f: DataFrame, label: str, key: str, test: float = 0.2, seed
     hist = (hist.withColumn("_cum", F.sum("_n").over(w))
             .withColumn("_total", F.sum("_n").over(Window.partitionBy(label)))
             .withColumn("_k", F.floor((F.col("_total") * pct + 50) / 100)))
+    # one row per class: the first bucket whose running count reaches k, and how many of it are test
     bound = (hist.filter(F.col("_cum") >= F.col("_k"))
              .groupBy(label).agg(F.min_by(F.struct("_b", (F.col("_k") - F.col("_cum") + F.col("_n")).alias("_r")),
                                           F.col("_b")).alias("_m"))
              .select(label, F.col("_m._b").alias("_bb"), F.col("_m._r").alias("_r")))
-    # classes whose k is 0 have no boundary row: everything is train
     j = h.join(F.broadcast(bound), label, "left")
-    below = F.col("_b") < F.col("_bb")
-    edge = h.join(F.broadcast(bound), label, "inner").filter(F.col("_b") == F.col("_bb"))
+    on_edge = F.col("_b") == F.col("_bb")
     rank = Window.partitionBy(label).orderBy("_h", key)
-    edge = edge.withColumn("_is_test", F.row_number().over(rank) <= F.col("_r"))
-    rest = j.filter(F.col("_bb").isNull() | (F.col("_b") != F.col("_bb"))).withColumn(
-        "_is_test", F.coalesce(below, F.lit(False)))
-    cols = [c for c in f.columns]
+    edge = j.filter(on_edge).withColumn("_is_test", F.row_number().over(rank) <= F.col("_r"))
+    rest = j.filter(~F.coalesce(on_edge, F.lit(False))).withColumn(
+        "_is_test", F.coalesce(F.col("_b") < F.col("_bb"), F.lit(False)))
+    cols = list(f.columns)
     return (rest.select(*cols, F.col("_is_test").alias("is_test"))
             .unionByName(edge.select(*cols, F.col("_is_test").alias("is_test"))))
 
