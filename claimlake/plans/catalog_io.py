@@ -272,3 +272,22 @@ register(
         f"SELECT '{e}' AS entity, COUNT(*) AS rows, {len(c)} AS columns FROM fx_{e}"
         for e, c in files.BRONZE_COLUMNS.items()), *[f"fx_{e}" for e in files.BRONZE_COLUMNS]),
 )
+
+
+def _pipeline(lk: Lake):
+    """The whole job into a fresh table root; returns the fraud summary it wrote."""
+    from .pipeline import run
+
+    cfg = files.TableConfig(scratch_path(lk.spark, "lakehouse"))
+    run(lk.spark, cfg, lk.bronze, lk.as_of, lk.run_ts)
+    return files.scan_table(lk.spark, cfg, "gold", "summary_fraud_intelligence")
+
+
+register(
+    "pipeline_run",
+    _pipeline,
+    q("""SELECT *, round(flagged_claims / greatest(total_claims, 1), 4) AS fraud_rate,
+  round(flagged_claims_gbp / greatest(total_claims_gbp, 0.01), 4) AS fraud_amount_ratio
+FROM fraud_summary""", "fraud_summary"),
+    rounded=("avg_fraud_score", "flagged_claims_gbp", "total_claims_gbp"),
+)
