@@ -47,6 +47,25 @@ def add_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return add_dq(df, [r.check() for r in rules])
 
 
+def _fires(rules: Sequence[Rule]) -> Column:
+    """TRUE when at least one rule fires (a NULL condition does not fire)."""
+    out = F.lit(False)
+    for r in rules:
+        out = out | F.coalesce(r.fails(), F.lit(False))
+    return out
+
+
+def passing_rows(typed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows where no rule fires — the same rows as ``_dq IS NULL`` but a plain boolean
+    filter (no string is built), which Catalyst pushes into the scan stage."""
+    return typed.filter(~_fires(rules))
+
+
+def failing_rows(typed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows where some rule fires, with ``_dq`` computed only for them."""
+    return add_rules(typed.filter(_fires(rules)), rules)
+
+
 def _ts(run_ts: datetime | str | Column | None) -> Column:
     if run_ts is None:
         return F.current_timestamp()

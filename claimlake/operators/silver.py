@@ -17,7 +17,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quality import Rule, add_rules, clean_rows
+from .quality import Rule, add_rules, clean_rows, failing_rows, passing_rows
 
 AUDIT_COLUMNS = ("_ingested_at", "_source_file", "_rescued_data")
 
@@ -114,7 +114,7 @@ def _with(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     return drop_audit_cols(df).withColumns(cols)
 
 
-def silver_policyholders_dq(df: DataFrame, as_of: date | Column = DEFAULT_AS_OF) -> DataFrame:
+def typed_policyholders(df: DataFrame, as_of: date | Column = DEFAULT_AS_OF) -> DataFrame:
     """``age = floor(days(as_of - dob) / 365)`` — ignores leap days like the reference."""
     as_of_col = as_of if isinstance(as_of, Column) else F.lit(as_of)
     typed = _with(df, {
@@ -123,20 +123,20 @@ def silver_policyholders_dq(df: DataFrame, as_of: date | Column = DEFAULT_AS_OF)
         "driving_years": _c("driving_years").try_cast("int"),
         "created_date": _as_date("created_date"),
     })
-    return add_rules(typed, RULES["policyholders"])
+    return typed
 
 
-def silver_vehicles_dq(df: DataFrame) -> DataFrame:
+def typed_vehicles(df: DataFrame) -> DataFrame:
     typed = _with(df, {
         "year": _c("year").try_cast("int"),
         "estimated_value": _c("estimated_value").try_cast("double"),
         "mileage": _c("mileage").try_cast("int"),
         "created_date": _as_date("created_date"),
     })
-    return add_rules(typed, RULES["vehicles"])
+    return typed
 
 
-def silver_policies_dq(df: DataFrame) -> DataFrame:
+def typed_policies(df: DataFrame) -> DataFrame:
     typed = _with(df, {
         "premium_monthly": _c("premium_monthly").try_cast("double"),
         "excess": _c("excess").try_cast("double"),
@@ -145,10 +145,10 @@ def silver_policies_dq(df: DataFrame) -> DataFrame:
         "end_date": _as_date("end_date"),
         "created_date": _as_date("created_date"),
     })
-    return add_rules(typed, RULES["policies"])
+    return typed
 
 
-def silver_claims_dq(df: DataFrame) -> DataFrame:
+def typed_claims(df: DataFrame) -> DataFrame:
     score = _c("fraud_risk_score").try_cast("double")
     typed = _with(df, {
         "claim_amount_gbp": _c("claim_amount_gbp").try_cast("double"),
@@ -158,20 +158,20 @@ def silver_claims_dq(df: DataFrame) -> DataFrame:
         "is_storm_related": F.coalesce(F.upper(_c("is_storm_related")).isin(*STORM_TRUE_VALUES), F.lit(False)),
         "fraud_flag": F.coalesce(score >= FRAUD_FLAG_THRESHOLD, F.lit(False)),
     })
-    return add_rules(typed, RULES["claims"])
+    return typed
 
 
-def silver_incidents_dq(df: DataFrame) -> DataFrame:
+def typed_incidents(df: DataFrame) -> DataFrame:
     typed = _with(df, {
         "incident_date": _as_date("incident_date"),
         "num_vehicles_involved": _c("num_vehicles_involved").try_cast("int"),
         "witness_count": _c("witness_count").try_cast("int"),
         "created_date": _as_date("created_date"),
     })
-    return add_rules(typed, RULES["incidents"])
+    return typed
 
 
-def silver_assessments_dq(df: DataFrame) -> DataFrame:
+def typed_claim_assessments(df: DataFrame) -> DataFrame:
     repair = _c("estimated_repair_cost_gbp").try_cast("double")
     typed = _with(df, {
         "estimated_repair_cost_gbp": repair,
@@ -181,25 +181,63 @@ def silver_assessments_dq(df: DataFrame) -> DataFrame:
         "created_date": _as_date("created_date"),
         "total_assessment_cost_gbp": F.coalesce(repair, F.lit(0.0)),
     })
-    return add_rules(typed, RULES["claim_assessments"])
+    return typed
 
 
-DQ_BUILDERS = {
-    "policyholders": silver_policyholders_dq,
-    "vehicles": silver_vehicles_dq,
-    "policies": silver_policies_dq,
-    "claims": silver_claims_dq,
-    "incidents": silver_incidents_dq,
-    "claim_assessments": silver_assessments_dq,
+TYPERS = {
+    "policyholders": typed_policyholders,
+    "vehicles": typed_vehicles,
+    "policies": typed_policies,
+    "claims": typed_claims,
+    "incidents": typed_incidents,
+    "claim_assessments": typed_claim_assessments,
 }
 
 
+def typed(entity: str, bronze: DataFrame, as_of: date | None = None) -> DataFrame:
+    """Casts and derived columns of one entity (no rule evaluation)."""
+    if entity == "policyholders":
+        return typed_policyholders(bronze, as_of or DEFAULT_AS_OF)
+    return TYPERS[entity](bronze)
+
+
 def conform(entity: str, bronze: DataFrame, as_of: date | None = None) -> DataFrame:
     """Typed frame + ``_dq`` for one entity."""
-    fn = DQ_BUILDERS[entity]
-    if entity == "policyholders":
-        return fn(bronze, as_of or DEFAULT_AS_OF)
-    return fn(bronze)
+    return add_rules(typed(entity, bronze, as_of), RULES[entity])
+
+
+def silver_policyholders_dq(df: DataFrame, as_of: date | Column = DEFAULT_AS_OF) -> DataFrame:
+    return add_rules(typed_policyholders(df, as_of), RULES["policyholders"])
+
+
+def silver_vehicles_dq(df: DataFrame) -> DataFrame:
+    return add_rules(typed_vehicles(df), RULES["vehicles"])
+
+
+def silver_policies_dq(df: DataFrame) -> DataFrame:
+    return add_rules(typed_policies(df), RULES["policies"])
+
+
+def silver_claims_dq(df: DataFrame) -> DataFrame:
+    return add_rules(typed_claims(df), RULES["claims"])
+
+
+def silver_incidents_dq(df: DataFrame) -> DataFrame:
+    return add_rules(typed_incidents(df), RULES["incidents"])
+
+
+def silver_assessments_dq(df: DataFrame) -> DataFrame:
+    return add_rules(typed_claim_assessments(df), RULES["claim_assessments"])
+
+
+def clean(entity: str, bronze: DataFrame, as_of: date | None = None) -> DataFrame:
+    """Clean rows straight from the rule predicates (no ``_dq`` string is built)."""
+    return passing_rows(typed(entity, bronze, as_of), RULES[entity])
+
+
+def failing(entity: str, bronze: DataFrame, as_of: date | None = None) -> DataFrame:
+    """Flagged rows with ``_dq``; the rule-name string is built for those rows only."""
+    return failing_rows(typed(entity, bronze, as_of), RULES[entity])
 
 
 def silver_policyholders(dq: DataFrame) -> DataFrame:

@@ -45,10 +45,11 @@ class Lake:
         return self._dq[entity]
 
     def silver(self, entity: str) -> DataFrame:
-        return quality.clean_rows(self.dq(entity))
+        return silver.clean(entity, self.bronze(entity), self.as_of)
 
     def failed(self, entity: str) -> DataFrame:
-        return quality.to_quarantine(self.dq(entity), entity, silver.ID_COLUMNS[entity], self.run_ts)
+        return quality.to_quarantine(silver.failing(entity, self.bronze(entity), self.as_of), entity,
+                                     silver.ID_COLUMNS[entity], self.run_ts)
 
     @cached_property
     def quarantine(self) -> DataFrame:
