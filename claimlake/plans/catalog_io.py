@@ -12,7 +12,8 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sources import files, incremental
+from ..operators import silver
+from ..sources import files, incremental, synth
 from ..streaming import ingest
 from .lake import Lake
 from .oracle_sql import RUN_TS, cte
@@ -291,3 +292,40 @@ register(
 FROM fraud_summary""", "fraud_summary"),
     rounded=("avg_fraud_score", "flagged_claims_gbp", "total_claims_gbp"),
 )
+
+
+# ── generator (rows-only: draws are xxhash64-based, which the oracle engine lacks) ──
+def _spines(lk: Lake):
+    t = lk.table
+    return {
+        "policyholders": t("customer").select(F.col("c_custkey").alias("id")),
+        "vehicles": t("part").select(F.col("p_partkey").alias("id")),
+        "policies": t("part").select(F.col("p_partkey").alias("id")),
+        "claims": t("orders").select(F.col("o_orderkey").alias("id")),
+        "incidents": t("events").select(F.col("event_id").alias("id")),
+        "claim_assessments": t("lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")),
+    }
+
+
+def _synth(lk: Lake, params):
+    ents = synth.synthetic_entities(_spines(lk), params)
+    out = None
+    for e, df in ents.items():
+        part = df.select(F.lit(e).alias("entity"), F.to_json(F.struct(*df.columns)).alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _bad_rows(lk: Lake):
+    ents = synth.synthetic_entities(_spines(lk))
+    out = None
+    for e, df in ents.items():
+        part = silver.failing(e, df).select(F.lit(e).alias("entity"), F.col(silver.ID_COLUMNS[e]).alias("id"),
+                                                 "_dq")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register("synthetic_entities", lambda lk: _synth(lk, synth.SynthParams()), None)
+register("shifted_batch", lambda lk: _synth(lk, synth.SHIFTED), None)
+register("bad_row_injection", _bad_rows, None)
