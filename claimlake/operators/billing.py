@@ -181,24 +181,25 @@ def usage_forecast(series: DataFrame, ds: str = "ds", y: str = "y", horizon_days
     forecast for the ``horizon_days`` days after the last ``ds`` of each series.
     (The reference calls a closed platform function; this is our stated model.)
     """
-    keys = tuple(keys) or ("_series",)
     s = series.withColumn("_x", F.datediff(F.col(ds), F.lit("1970-01-01")).cast("double"))
-    if "_series" in keys:
-        s = s.withColumn("_series", F.lit(0))
-    # one row per series: bounded by the number of series, so it is broadcast
-    fit = F.broadcast(s.groupBy(*keys).agg(F.regr_slope(F.col(y), F.col("_x")).alias("_b"),
-                                           F.regr_intercept(F.col(y), F.col("_x")).alias("_a"),
-                                           F.max(ds).alias("_last")))
-    resid = (s.join(fit, list(keys), "inner")
-             .groupBy(*keys, F.dayofweek(ds).alias("_dow"))
+    fit = s.groupBy(*keys).agg(F.regr_slope(F.col(y), F.col("_x")).alias("_b"),
+                               F.regr_intercept(F.col(y), F.col("_x")).alias("_a"),
+                               F.max(ds).alias("_last"))
+    if keys:
+        # one row per series: bounded by the number of series, so it is broadcast
+        fit = F.broadcast(fit)
+        with_fit = s.join(fit, list(keys), "inner")
+    else:
+        # a single series: the fit is two scalar subqueries, no join at all
+        with_fit = s.withColumns({"_a": fit.select("_a").scalar(), "_b": fit.select("_b").scalar()})
+    resid = (with_fit.groupBy(*keys, F.dayofweek(ds).alias("_dow"))
              .agg(F.avg(F.col(y) - (F.col("_a") + F.col("_b") * F.col("_x"))).alias("_r")))
     horizon = fit.select(*keys, "_a", "_b", F.explode(F.sequence(
         F.date_add("_last", 1), F.date_add("_last", horizon_days))).alias("period"))
     horizon = horizon.withColumn("_dow", F.dayofweek("period"))
     j = horizon.join(resid, [*keys, "_dow"], "left")
     trend = F.col("_a") + F.col("_b") * F.datediff("period", F.lit("1970-01-01")).cast("double")
-    out_keys = [k for k in keys if k != "_series"]
-    return j.select(*out_keys, "period",
+    return j.select(*keys, "period",
                     F.greatest(trend + F.coalesce(F.col("_r"), F.lit(0.0)), F.lit(0.0)).alias("cost_gbp"))
 
 

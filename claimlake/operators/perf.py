@@ -59,7 +59,7 @@ def query_metrics(h: DataFrame, statement_id: str) -> DataFrame:
 
 
 def perf_advice(h: DataFrame) -> DataFrame:
-    """Scan advice for every statement, first matching rule wins."""
+    """Scan advice for every statement; the first matching rule wins (one narrow projection)."""
     has = (F.col("read_bytes").isNotNull() | F.col("read_rows").isNotNull()
            | F.col("produced_rows").isNotNull())
     read_mb = F.coalesce(F.col("read_bytes"), F.lit(0)) / 1e6
@@ -68,15 +68,11 @@ def perf_advice(h: DataFrame) -> DataFrame:
     cached = F.coalesce(F.col("from_result_cache"), F.lit(False))
     advice = (F.when(~has, "no_metrics")
               .when(cached, "result_cache_hit")
-              .when((F.col("read_mb") > LARGE_SCAN_FILTERED_MB) & (F.col("filter_pct") < LOW_FILTER_PCT),
-                    "zorder_filter_columns")
-              .when(F.col("read_mb") > LARGE_SCAN_MB, "optimize_compact_files")
-              .when(F.col("filter_pct") < VERY_SELECTIVE_PCT, "zorder_or_partition")
+              .when((read_mb > LARGE_SCAN_FILTERED_MB) & (filter_pct < LOW_FILTER_PCT), "zorder_filter_columns")
+              .when(read_mb > LARGE_SCAN_MB, "optimize_compact_files")
+              .when(filter_pct < VERY_SELECTIVE_PCT, "zorder_or_partition")
               .otherwise("ok"))
-    return (h.select("statement_id", read_mb.alias("read_mb"), filter_pct.alias("filter_pct"),
-                     has.alias("_has"), cached.alias("_cached"), "read_bytes", "read_rows", "produced_rows",
-                     "from_result_cache")
-            .select("statement_id", "read_mb", "filter_pct", advice.alias("advice")))
+    return h.select("statement_id", read_mb.alias("read_mb"), filter_pct.alias("filter_pct"), advice.alias("advice"))
 
 
 def _nonzero(*cols: Column) -> Column:

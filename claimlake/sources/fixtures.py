@@ -198,14 +198,23 @@ CAST(event_id AS STRING) AS statement_id,
     ),
 }
 
+# Spark-side FROM clauses that express the same rows without a cross join (the
+# two-row price-version list becomes a generator, planned as Generate, not a
+# nested-loop join).
+SPARK_SOURCES = {
+    "list_prices": "(SELECT DISTINCT event_type FROM $events) t LATERAL VIEW explode(array(0, 1)) v AS k",
+}
+
 BRONZE_ENTITIES = ("policyholders", "vehicles", "policies", "claims", "incidents", "claim_assessments")
 
 _REF = re.compile(r"\$(\w+)")
 
 
-def fixture_sql(name: str, resolve) -> str:
+def fixture_sql(name: str, resolve, engine: str = "duckdb") -> str:
     """SELECT text of one fixture view with ``$table`` references resolved by ``resolve``."""
     source, select_list = FIXTURES[name]
+    if engine == "spark":
+        source = SPARK_SOURCES.get(name, source)
     text = f"SELECT {select_list.strip()}\nFROM {source}"
     return _REF.sub(lambda m: resolve(m.group(1)), text)
 
@@ -234,7 +243,7 @@ def _register(spark: SparkSession, sf_dir: str, table: str) -> str:
 
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a lazy Spark DataFrame over the parquet files in ``sf_dir``."""
-    return spark.sql(fixture_sql(name, lambda t: _register(spark, sf_dir, t)))
+    return spark.sql(fixture_sql(name, lambda t: _register(spark, sf_dir, t), engine="spark"))
 
 
 def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
