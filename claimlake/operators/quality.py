@@ -144,6 +144,16 @@ def expectation_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return wide.selectExpr(f"stack({len(rules)}, {stack}) AS (expectation, passed, failed)")
 
 
+def rule_report(typed: DataFrame, entity: str, rules: Sequence[Rule]) -> DataFrame:
+    """One row per catalogue rule of ``entity``: severity and how many rows it flags
+    (one aggregate pass; rules that never fire show 0)."""
+    counts = typed.agg(*[F.count_if(F.coalesce(r.fails(), F.lit(False))).alias(f"r{i}")
+                         for i, r in enumerate(rules)])
+    stack = ", ".join(f"'{r.name}', '{r.severity}', r{i}" for i, r in enumerate(rules))
+    return counts.selectExpr(f"'{entity}' AS entity",
+                             f"stack({len(rules)}, {stack}) AS (rule, severity, failed_records)")
+
+
 def grain_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once (a declared grain that does not hold)."""
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dq_reports, quality, silver
+from ..sources import files
 from ..sources.fixtures import BRONZE_ENTITIES
 from .lake import Lake
 from .oracle_sql import ENTITY_IDS, RUN_TS, cte
@@ -177,4 +178,29 @@ register(
     q("SELECT * FROM grain_dupes", "grain_dupes"),
 )
 
+def _rule_catalog(lk: Lake):
+    out = None
+    for entity, rules in silver.rule_catalog().items():
+        part = quality.rule_report(silver.typed(entity, lk.bronze(entity), lk.as_of), entity, rules)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_RULE_ROWS = ", ".join(f"('{e}', '{r.name}', '{r.severity}')" for e, rs in silver.RULES.items() for r in rs)
+register(
+    "rule_catalog",
+    _rule_catalog,
+    q(f"""SELECT c.entity, c.rule, c.severity, CAST(count(d.source_table) AS BIGINT) AS failed_records
+FROM (VALUES {_RULE_ROWS}) c(entity, rule, severity)
+LEFT JOIN (SELECT source_table, unnest(string_split(dq_rule_violated, '|')) AS rule FROM quarantine) d
+  ON d.source_table = c.entity AND d.rule = c.rule
+GROUP BY 1, 2, 3""", "quarantine"),
+)
+
+register(
+    "scan_table",
+    lambda lk: files.scan_table(lk.spark, files.TableConfig(lk.sf_dir, layout="{root}/{name}.parquet"), "", "customer"),
+    q("SELECT * FROM customer"),
+)
+
 __all__ = ["BRONZE_ENTITIES", "ENTITY_IDS", "Lake"]

@@ -84,9 +84,12 @@ class TableConfig:
 
     root: str
     use_catalog: bool = False
+    layout: str = "{root}/{layer}/{name}"
 
     def location(self, layer: str, name: str) -> str:
-        return f"{layer}.{name}" if self.use_catalog else f"{self.root.rstrip('/')}/{layer}/{name}"
+        if self.use_catalog:
+            return f"{layer}.{name}"
+        return self.layout.format(root=self.root.rstrip("/"), layer=layer, name=name)
 
 
 def scan_table(spark: SparkSession, cfg: TableConfig, layer: str, name: str) -> DataFrame:
