@@ -275,9 +275,9 @@ register(
 )
 
 
-def _pipeline(lk: Lake):
+def _job(lk: Lake):
     """The whole job into a fresh table root; returns the fraud summary it wrote."""
-    from .pipeline import run
+    from .job import run
 
     cfg = files.TableConfig(scratch_path(lk.spark, "lakehouse"))
     run(lk.spark, cfg, lk.bronze, lk.as_of, lk.run_ts)
@@ -285,8 +285,8 @@ def _pipeline(lk: Lake):
 
 
 register(
-    "pipeline_run",
-    _pipeline,
+    "lakehouse_job",
+    _job,
     q("""SELECT *, round(flagged_claims / greatest(total_claims, 1), 4) AS fraud_rate,
   round(flagged_claims_gbp / greatest(total_claims_gbp, 0.01), 4) AS fraud_amount_ratio
 FROM fraud_summary""", "fraud_summary"),
