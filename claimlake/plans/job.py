@@ -20,6 +20,9 @@ from ..sources.files import TableConfig, materialize, scan_table
 from ..sources.fixtures import BRONZE_ENTITIES
 
 SILVER, GOLD = "silver", "gold"
+# Silver tables joined on claim_id downstream (facts, features, triage summary):
+# bucketed alike when the catalog supports it, so those joins need no shuffle.
+CLAIM_KEYED = {"claims": "claim_id", "incidents": "claim_id", "claim_assessments": "claim_id"}
 
 
 def run(spark: SparkSession, cfg: TableConfig, bronze: Callable[[str], DataFrame], as_of: date,
@@ -37,7 +40,8 @@ def run(spark: SparkSession, cfg: TableConfig, bronze: Callable[[str], DataFrame
             dq = silver.conform(entity, bronze(entity), as_of)
             materialize(dq, cfg, SILVER, f"_dq_{entity}")                    # one pass over bronze
             dq = t(SILVER, f"_dq_{entity}")
-            out[entity] = materialize(quality.clean_rows(dq), cfg, SILVER, entity)
+            out[entity] = materialize(quality.clean_rows(dq), cfg, SILVER, entity,
+                                      bucket_by=CLAIM_KEYED.get(entity))
             part = quality.to_quarantine(dq, entity, silver.ID_COLUMNS[entity], run_ts)
             failed = part if failed is None else failed.unionByName(part)
         out["quarantine"] = materialize(failed, cfg, SILVER, "quarantine")

@@ -26,6 +26,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, memory:
     conf["spark.driver.memory"] = memory
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    conf["spark.sql.warehouse.dir"] = os.path.join(tempfile.gettempdir(), f"claimlake-wh-{uuid.uuid4().hex[:8]}")
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -85,6 +85,7 @@ class TableConfig:
     root: str
     use_catalog: bool = False
     layout: str = "{root}/{layer}/{name}"
+    buckets: int = 0          # > 0 with a catalog: claim-keyed tables are bucketed for co-located joins
 
     def location(self, layer: str, name: str) -> str:
         if self.use_catalog:
@@ -97,13 +98,22 @@ def scan_table(spark: SparkSession, cfg: TableConfig, layer: str, name: str) ->
     return spark.table(loc) if cfg.use_catalog else spark.read.parquet(loc)
 
 
-def materialize(df: DataFrame, cfg: TableConfig, layer: str, name: str, partition_by: Sequence[str] = ()) -> str:
-    """Full recompute and overwrite of one table; returns its location."""
+def materialize(df: DataFrame, cfg: TableConfig, layer: str, name: str, partition_by: Sequence[str] = (),
+                bucket_by: str | None = None) -> str:
+    """Full recompute and overwrite of one table; returns its location.
+
+    With a catalog and ``cfg.buckets``, ``bucket_by`` writes the table bucketed
+    and sorted on that key: two tables bucketed alike on the join key are joined
+    by a sort-merge join with no exchange on either side.
+    """
     loc = cfg.location(layer, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if cfg.use_catalog:
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        if bucket_by and cfg.buckets:
+            w = w.bucketBy(cfg.buckets, bucket_by).sortBy(bucket_by)
         w.saveAsTable(loc)
     else:
         w.parquet(loc)
