@@ -76,10 +76,12 @@ register(
     q("""
 SELECT * FROM (VALUES ('claim_id_present'), ('amount_parses'), ('storm_flag_known')) e(expectation)
 JOIN (
-  SELECT 'claim_id_present' AS expectation, count_if(claim_id IS NOT NULL) AS passed, count_if(claim_id IS NULL) AS failed FROM fx_claims
-  UNION ALL SELECT 'amount_parses', count_if(TRY_CAST(claim_amount_gbp AS DOUBLE) IS NOT NULL),
-         count_if(TRY_CAST(claim_amount_gbp AS DOUBLE) IS NULL) FROM fx_claims
-  UNION ALL SELECT 'storm_flag_known', count_if(is_storm_related IS NOT NULL), count_if(is_storm_related IS NULL) FROM fx_claims
+  SELECT 'claim_id_present' AS expectation, CAST(count_if(claim_id IS NOT NULL) AS BIGINT) AS passed,
+         CAST(count_if(claim_id IS NULL) AS BIGINT) AS failed FROM fx_claims
+  UNION ALL SELECT 'amount_parses', CAST(count_if(TRY_CAST(claim_amount_gbp AS DOUBLE) IS NOT NULL) AS BIGINT),
+         CAST(count_if(TRY_CAST(claim_amount_gbp AS DOUBLE) IS NULL) AS BIGINT) FROM fx_claims
+  UNION ALL SELECT 'storm_flag_known', CAST(count_if(is_storm_related IS NOT NULL) AS BIGINT),
+         CAST(count_if(is_storm_related IS NULL) AS BIGINT) FROM fx_claims
 ) USING (expectation)""", "fx_claims"),
 )
 

@@ -229,7 +229,7 @@ FROM (SELECT claim_id, severity_encoded, [prob_minor, prob_moderate, prob_severe
 register(
     "offline_accuracy",
     lambda lk: model.offline_accuracy(_predictions(lk)),
-    q("""SELECT COUNT(*) AS total, count_if(severity_encoded = predicted_severity) AS correct,
+    q("""SELECT COUNT(*) AS total, CAST(count_if(severity_encoded = predicted_severity) AS BIGINT) AS correct,
   count_if(severity_encoded = predicted_severity) / COUNT(*) AS accuracy, """ + ", ".join(
         f"count_if(severity_encoded = {i} AND predicted_severity = {i}) / NULLIF(count_if(severity_encoded = {i}), 0) "
         f"AS accuracy_{n}" for i, n in enumerate(LABELS)) + " FROM preds", "preds"),
