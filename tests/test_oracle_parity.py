@@ -56,10 +56,26 @@ def _canon(df):
                   key=lambda t: tuple("" if x is None else str(x) for x in t))
 
 
+def _kind(t):
+    import pyarrow as pa
+
+    if pa.types.is_string(t) or pa.types.is_large_string(t):
+        return "string"
+    if pa.types.is_timestamp(t):
+        return "timestamp"
+    if pa.types.is_decimal(t):
+        return "decimal"
+    if pa.types.is_list(t) or pa.types.is_large_list(t):
+        return f"list<{_kind(t.value_type)}>"
+    return str(t)
+
+
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_parity(spark, duck, key):
-    got = entry.queries()[key](spark, SF_SMALL).toPandas()
-    want = duck.sql(SQL[key]).to_arrow_table().to_pandas()
+    got_arrow = entry.queries()[key](spark, SF_SMALL).toArrow()
+    want_arrow = duck.sql(SQL[key]).to_arrow_table()
+    assert {f.name: _kind(f.type) for f in got_arrow.schema} == {f.name: _kind(f.type) for f in want_arrow.schema}
+    got, want = got_arrow.to_pandas(), want_arrow.to_pandas()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert _canon(got) == _canon(want)
