@@ -240,3 +240,13 @@ register(
     q("""SELECT task_key, run_date, round(AVG(duration_min), 1) AS duration_min FROM task_durations
 WHERE result_state = 'SUCCESS' GROUP BY 1, 2""", "task_durations"),
 )
+
+_DAYS = [date.fromordinal(START.toordinal() + i) for i in range((END - START).days + 1)]
+register(
+    "task_heatmap_grid",
+    lambda lk: perf.task_heatmap(perf.task_durations(lk.run_timeline, START, END), _DAYS),
+    q("SELECT task_key, " + ", ".join(
+        f"max(CASE WHEN run_date = DATE '{d}' THEN duration_min END) AS \"{d}\"" for d in _DAYS)
+      + """ FROM (SELECT task_key, run_date, round(AVG(duration_min), 1) AS duration_min FROM task_durations
+WHERE result_state = 'SUCCESS' GROUP BY 1, 2) GROUP BY task_key""", "task_durations"),
+)
