@@ -88,3 +88,29 @@ def test_year_chunks_split_on_calendar_years(spark):
     rows = [tuple(r) for r in incremental.year_chunks(w).orderBy("chunk_start").collect()]
     assert rows == [(dt.date(2022, 6, 1), dt.date(2022, 12, 31)), (dt.date(2023, 1, 1), dt.date(2023, 12, 31)),
                     (dt.date(2024, 1, 1), dt.date(2024, 3, 5))]
+
+
+def test_price_join_no_match_costs_zero_and_overlaps_duplicate(spark):
+    import datetime as dt
+
+    usage = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 5), dt.date(2024, 1, 5), "a", "DBU", 2.0, "ORIGINAL"),
+         (dt.datetime(2024, 1, 5), dt.date(2024, 1, 5), "zzz", "DBU", 2.0, "ORIGINAL")],
+        "usage_start_time timestamp, usage_date date, sku_name string, usage_unit string, usage_quantity double, "
+        "record_type string")
+    prices = spark.createDataFrame(
+        [("a", dt.datetime(2024, 1, 1), None, 1.0), ("a", dt.datetime(2024, 1, 2), None, 3.0)],
+        "sku_name string, price_start_time timestamp, price_end_time timestamp, p double").select(
+        "sku_name", "price_start_time", "price_end_time",
+        F.struct(F.struct(F.col("p").alias("default")).alias("effective_list")).alias("pricing"))
+    fx = spark.createDataFrame([(dt.date(2024, 1, 1), 0.5)], "rate_date date, usd_to_gbp double")
+    out = billing.priced_usage(usage, prices, fx).select("sku_name", "dbu_cost_gbp").collect()
+    assert sorted((r[0], r[1]) for r in out) == [("a", 1.0), ("a", 3.0), ("zzz", 0.0)]
+
+
+def test_offline_accuracy_counts_null_labels_as_wrong(spark):
+    from claimlake.operators import model
+
+    p = spark.createDataFrame([(0, 0), (1, 1), (None, 2), (2, 2)], "severity_encoded int, predicted_severity int")
+    r = model.offline_accuracy(p).collect()[0]
+    assert r["accuracy"] == 3 / 4 and r["accuracy_total_loss"] is None
