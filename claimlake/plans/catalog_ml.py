@@ -137,7 +137,8 @@ register(
     q(f"""SELECT {LABEL}, COUNT(*) AS count, round(COUNT(*) / (SELECT COUNT(*) FROM claim_features WHERE {LABEL} IS NOT NULL) * 100, 2) AS pct
 FROM claim_features WHERE {LABEL} IS NOT NULL GROUP BY 1""", "claim_features"),
 )
-register("prepare_training", _prepared, q("SELECT * FROM prepared", "prepared"))
+register("prepare_training", _prepared, q("SELECT * FROM prepared", "prepared"),
+         rounded=("f_avg_repair_cost_gbp", "f_total_labour_hours"))
 register(
     "stratified_split",
     lambda lk: _split(lk).select("claim_id", LABEL, "is_test"),
