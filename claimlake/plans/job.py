@@ -68,12 +68,13 @@ def run(spark: SparkSession, cfg: TableConfig, bronze: Callable[[str], DataFrame
         out["policyholder_risk_profile"] = materialize(features.policyholder_risk_profile(
             s["policyholders"](), s["claims"](), s["policies"]()), cfg, GOLD, "policyholder_risk_profile")
     if "summary" in stages:
+        # month-partitioned: the reports filter on month ranges, so reads prune partitions
         out["summary_claims_daily"] = materialize(summary.summary_claims_daily(s["claims"]()), cfg, GOLD,
-                                                  "summary_claims_daily")
+                                                  "summary_claims_daily", partition_by=["month"])
         out["summary_financial_kpis"] = materialize(summary.summary_financial_kpis(s["claims"](), s["policies"]()),
                                                     cfg, GOLD, "summary_financial_kpis")
         out["summary_fraud_intelligence"] = materialize(summary.summary_fraud_intelligence(s["claims"]()), cfg,
-                                                        GOLD, "summary_fraud_intelligence")
+                                                        GOLD, "summary_fraud_intelligence", partition_by=["month"])
         out["summary_triage_performance"] = materialize(summary.summary_triage_performance(
             s["claim_assessments"](), s["claims"]()), cfg, GOLD, "summary_triage_performance")
     return out

@@ -32,3 +32,18 @@ def test_quarantine_table_equals_failed_rows(spark):
     assert q.count() == lk.quarantine.count()
     for entity in ("claims", "claim_assessments"):
         assert scan_table(spark, cfg, "silver", entity).count() == lk.silver(entity).count()
+
+
+def test_month_filter_prunes_summary_partitions(spark):
+    from claimlake.operators import fraud
+    from claimlake.session import scratch_path
+
+    lk = Lake(spark, SF_SMALL)
+    cfg = TableConfig(scratch_path(spark, "job-test"))
+    run(spark, cfg, lk.bronze, lk.as_of, lk.run_ts, stages=("silver", "summary"))
+    s = scan_table(spark, cfg, "gold", "summary_fraud_intelligence")
+    df = fraud.fraud_where(s, months=("2024-03", "2024-05"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    assert fraud.fraud_kpis(df).collect()[0]["total_claims"] == \
+        fraud.fraud_kpis(fraud.fraud_where(lk.fraud_summary, months=("2024-03", "2024-05"))).collect()[0]["total_claims"]
