@@ -54,3 +54,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 400_000) -> dict:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
+
+    AQE coalesces small shuffle partitions but cannot split a too-large one
+    (except skewed join partitions), so the initial shuffle width is sized for
+    the input (~``target_partition_bytes`` per partition, e.g. ~400 000 for
+    100 TB) and AQE merges down to the advisory size at run time.  Scan splits
+    match the same target; the skew-join thresholds are tied to it so a hot key
+    that reaches a third of a join side is split.
+    """
+    n = max(200, min(max_partitions, input_bytes // target_partition_bytes + 1))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
