@@ -114,3 +114,11 @@ def test_offline_accuracy_counts_null_labels_as_wrong(spark):
     p = spark.createDataFrame([(0, 0), (1, 1), (None, 2), (2, 2)], "severity_encoded int, predicted_severity int")
     r = model.offline_accuracy(p).collect()[0]
     assert r["accuracy"] == 3 / 4 and r["accuracy_total_loss"] is None
+
+
+def test_cluster_conf_sizes_shuffle_for_input():
+    from claimlake.session import cluster_conf
+
+    big = cluster_conf(100 * 2**40)
+    assert int(big["spark.sql.shuffle.partitions"]) == 400_000
+    assert int(cluster_conf(10 * 2**20)["spark.sql.shuffle.partitions"]) == 200
