@@ -63,7 +63,8 @@ class PerfectIndex:
 
     @staticmethod
     def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-        return (mix(keys + np.uint64(level + 1) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(size)).astype(np.int64)
+        salt = np.uint64((level + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+        return (mix(keys + salt) % np.uint64(size)).astype(np.int64)
 
     @staticmethod
     def _print(keys: np.ndarray) -> np.ndarray:
