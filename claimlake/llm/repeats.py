@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from .common import staged
 from .text import mix, span_hashes, text_blocks
 
-#: Bytes of an anchor, windows per run at most, contexts per owner in one task at most.
-ANCHOR, SPAN, HOT = 32, 168, 2048
+#: Bytes of an anchor (long enough that texts seldom share one by chance), windows per run at most, contexts per owner in
+#: one task at most.
+ANCHOR, SPAN, HOT = 64, 136, 2048
 #: Bytes of one suffix array, unless a single owner has more; symbols of the first rank.
 BLOCK, HEAD = 1 << 20, 7
 
