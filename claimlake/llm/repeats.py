@@ -33,7 +33,7 @@ from .text import mix, span_hashes, text_blocks
 
 #: Bytes of an anchor (long enough that texts seldom share one by chance), windows per run at most, contexts per owner in
 #: one task at most.
-ANCHOR, SPAN, HOT = 64, 136, 2048
+ANCHOR, SPAN, HOT = 32, 168, 2048
 #: Bytes of one suffix array, unless a single owner has more; symbols of the first rank.
 BLOCK, HEAD = 1 << 20, 7
 
@@ -271,8 +271,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, removed, n = end, removed + end - start, n + 1
             kept.update(text[at:])
             out.append((len(text), removed, n, kept.hexdigest()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c) for c in zip(*out, strict=True)]],
-                                         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), *[pa.array(c) for c in zip(*out, strict=True)]],
+                                         names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def merged(spans: pa.Scalar) -> list[tuple[int, int]]:
@@ -313,7 +313,7 @@ class Repeats:
         width = self.width
         asked = (self.reps.filter(F.col("hot") == hot).groupBy("row")
                  .agg(F.collect_list(F.struct("owner", "start", "n")).alias("asked")))
-        return (self.base.select("row", "text", "doc_id").join(asked, "row").select("row", "text", "asked")
+        return (self.base.select("row", "text").join(asked, "row").select("row", "text", "asked")
                 .mapInArrow(lambda it: _contexts(it, width), "owner long, row long, start long, n long, bytes binary"))
 
     def by_owner(self) -> DataFrame:
@@ -339,6 +339,8 @@ class Repeats:
 
     def removed(self) -> DataFrame:
         """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
+        # Texts are dealt out by row as for the contexts, by the same columns: one exchange serves both.
         found = self.spans().groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-        return (self.base.select("row", "text", "doc_id").join(found, "row", "left").select("doc_id", "text", "spans")
-                .mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+        done = (self.base.select("row", "text").join(found, "row", "left").select("row", "text", "spans")
+                .mapInArrow(_remove, "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+        return self.base.select("row", "doc_id").join(done, "row").drop("row")
