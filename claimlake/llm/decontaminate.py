@@ -17,7 +17,8 @@ half of them, must occur in the passage.
 Index size: items are searched in slices of at most ``SLICE_BYTES`` of text, so that what every task holds is bounded;
 all slices are searched.  Defined cases: null or empty text: clean; items without words: never matched; items shorter
 than five words: their whole sequence is one shingle; null doc_id: kept with its own matches; null item_id: never
-named, still a match; repeated rows: each by itself; empty tables: no rows, or no matches; other columns are not read.
+named, still a match; repeated rows: each by itself; empty tables: no rows, or no matches; other columns pass through,
+but for those named n_items, item_ids, found_n and found_items.
 """
 
 from __future__ import annotations
@@ -197,7 +198,7 @@ def _search(batches: Iterator[pa.RecordBatch], index: ItemIndex) -> Iterator[pa.
                     found[block.first_row + d].append(item)
         items = [sorted(index.ids[i] for i in f if index.ids[i] is not None) for f in found]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(f) for f in found], pa.int64()),
-                                          pa.array(items, pa.list_(pa.int64()))], names=[*batch.schema.names, "n", "items"])
+                                          pa.array(items, pa.list_(pa.int64()))], names=[*batch.schema.names, "found_n", "found_items"])
 
 
 def _windows(part: np.ndarray, width: int, size: int) -> np.ndarray:
@@ -210,12 +211,12 @@ def _windows(part: np.ndarray, width: int, size: int) -> np.ndarray:
     return np.unique(h)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, per_cent: int = 80, text: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
     """``docs`` with ``n_items`` (test items that a passage of the row holds) and ``item_ids`` (sorted)."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(1, -(-total // (SLICE_BYTES // 2)))
-    keep = [c for c in docs.columns if c not in ("n_items", "item_ids")]
+    keep = [c for c in docs.columns if c not in ("n_items", "item_ids", "found_n", "found_items")]
     out = docs.select(*keep, F.lit(0).cast("long").alias("n_items"), F.array().cast("array<bigint>").alias("item_ids"))
     for i in range(slices):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i).orderBy("item_id", "text").collect()
@@ -227,7 +228,7 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, per_cent: in
         schema = docs.select(*keep).schema
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         out = (out.mapInArrow(lambda it, x=index: _search(it, x),
-                              f"{fields}, n_items bigint, item_ids array<bigint>, n bigint, items array<bigint>")
-               .select(*keep, (F.col("n_items") + F.col("n")).alias("n_items"),
-                       F.sort_array(F.concat("item_ids", "items")).alias("item_ids")))
+                              f"{fields}, n_items bigint, item_ids array<bigint>, found_n bigint, found_items array<bigint>")
+               .select(*keep, (F.col("n_items") + F.col("found_n")).alias("n_items"),
+                       F.sort_array(F.concat("item_ids", "found_items")).alias("item_ids")))
     return out

@@ -65,9 +65,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
 
 
 def mix_sources(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies) of every row of ``docs``, with its other columns."""
-    keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "copies")]
-    sized = docs.select(*keep, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    """(doc_id, size, source_size, target, taken, copies) of every row of ``docs`` (and the names mark, nth, of, by which
+    ``take_mix`` finds the row again)."""
+    sized = docs.select("doc_id", "source", "text", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     # Repeated rows of one id are told apart by a number; k names a row in the tree.
     same = Window.partitionBy("doc_id", "mark", "source").orderBy("size")
     narrow = (sized.select("doc_id", "source", "size", F.xxhash64("text").alias("mark"))
@@ -110,12 +110,13 @@ def take_mix(docs: DataFrame, **how) -> DataFrame:
     """``docs`` as the mix has it: every row as often as it is taken, columns unchanged."""
     out = mix_sources(docs, **how).filter("copies > 0")
     same = Window.partitionBy("doc_id", "mark", "source").orderBy(F.lit(0))
-    rows = docs.withColumn("mark", F.xxhash64("text")).withColumn("nth", F.row_number().over(same))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", "source",
+                       F.xxhash64("text").alias("mark")).withColumn("nth", F.row_number().over(same))
     on = (F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.mark") == F.col("m.mark"))
           & F.col("d.source").eqNullSafe(F.col("m.of")) & (F.col("d.nth") == F.col("m.nth")))
     return (rows.alias("d").join(out.alias("m"), on)
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select(*[F.col(f"d.`{c}`") for c in docs.columns]))
+            .select("d.whole.*"))
 
 
 def _draw(seed: int, depth: int):
