@@ -56,7 +56,8 @@ def fx_intervals(fx: DataFrame, last_days: int = LAST_RATE_DAYS) -> DataFrame:
 
 def fx_daily(fx: DataFrame, last_days: int = LAST_RATE_DAYS) -> DataFrame:
     """One row per calendar day covered by a rate: (fx_date, usd_to_gbp)."""
-    iv = fx_intervals(fx, last_days)
+    # Of several rates of one date only the last has a non-empty interval.
+    iv = fx_intervals(fx, last_days).filter(F.col("next_rate_date") > F.col("rate_date"))
     return iv.select(
         F.explode(F.sequence("rate_date", F.date_sub("next_rate_date", 1))).alias("fx_date"), "usd_to_gbp")
 
@@ -178,7 +179,8 @@ def usage_forecast(series: DataFrame, ds: str = "ds", y: str = "y", horizon_days
     """Linear trend + day-of-week mean residual per series, floored at 0.
 
     ``series`` has one row per (keys, ds) with value ``y``; the output has the
-    forecast for the ``horizon_days`` days after the last ``ds`` of each series.
+    forecast for the ``horizon_days`` days after the last ``ds`` of each series (NULL
+    where one point or none leaves no trend).
     (The reference calls a closed platform function; this is our stated model.)
     """
     s = series.withColumn("_x", F.datediff(F.col(ds), F.lit("1970-01-01")).cast("double"))
@@ -200,7 +202,8 @@ def usage_forecast(series: DataFrame, ds: str = "ds", y: str = "y", horizon_days
     j = horizon.join(resid, [*keys, "_dow"], "left")
     trend = F.col("_a") + F.col("_b") * F.datediff("period", F.lit("1970-01-01")).cast("double")
     return j.select(*keys, "period",
-                    F.greatest(trend + F.coalesce(F.col("_r"), F.lit(0.0)), F.lit(0.0)).alias("cost_gbp"))
+                    F.when(trend.isNotNull(), F.greatest(trend + F.coalesce(F.col("_r"), F.lit(0.0)), F.lit(0.0)))
+                    .alias("cost_gbp"))
 
 
 def daily_cost_series(u: DataFrame) -> DataFrame:

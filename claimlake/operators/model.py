@@ -118,12 +118,13 @@ def train_severity(train: DataFrame, features: Sequence[str], label: str, params
     return pipe.fit(train)
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str], top: int = 10) -> DataFrame:
+def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str],
+                       top: int | None = None) -> DataFrame:
     """Model metadata (one value per feature), sorted; bounded by the feature count."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
     rows = [(f, float(v)) for f, v in zip(features, imp)]
-    return (spark.createDataFrame(rows, "feature string, importance double")
-            .orderBy(F.col("importance").desc(), "feature").limit(top))
+    out = spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
+    return out if top is None else out.limit(top)
 
 
 def score_claims(f: DataFrame, model: PipelineModel, keep: Sequence[str] = ()) -> DataFrame:

@@ -21,7 +21,6 @@ LOW_FILTER_PCT = 10
 LARGE_SCAN_MB = 1000
 VERY_SELECTIVE_PCT = 1
 PREVIEW_CHARS = 120
-TOP_PROFILE_NODES = 20
 
 PROFILE_NODE = ("struct<node_name:string,name:string,description:string,time_ns:double,"
                 "execution_time_ms:double,duration_ms:double,rows_output:bigint,num_output_rows:bigint,"
@@ -84,10 +83,12 @@ def _nonzero(*cols: Column) -> Column:
     return out.otherwise(F.lit(0.0))
 
 
-def profile_operators(p: DataFrame, json_col: str = "profile_json", top: int = TOP_PROFILE_NODES) -> DataFrame:
-    """Plan nodes of each statement's JSON profile: operator, seconds, rows, MB, % of total."""
+def profile_operators(p: DataFrame, json_col: str = "profile_json", top: int | None = None) -> DataFrame:
+    """Plan nodes of each statement's JSON profile: operator, seconds, rows, MB, % of total; all
+    nodes, or the ``top`` longest."""
     parsed = p.select("statement_id", F.from_json(F.col(json_col), PROFILE_SCHEMA).alias("_p"))
-    nodes = F.coalesce(F.col("_p.nodes"), F.col("_p.plan_summary.nodes"), F.array())
+    own, summary = F.col("_p.nodes"), F.col("_p.plan_summary.nodes")
+    nodes = F.when(F.size(own) > 0, own).otherwise(F.coalesce(summary, F.array()))
     n = parsed.select("statement_id", F.posexplode(nodes).alias("node_pos", "n"))
     secs = _nonzero(F.col("n.time_ns") / 1e9, F.col("n.execution_time_ms") / 1e3, F.col("n.duration_ms") / 1e3)
     rows = F.coalesce(_nonzero(F.col("n.rows_output"), F.col("n.num_output_rows"), F.col("n.output_rows"))
@@ -95,14 +96,15 @@ def profile_operators(p: DataFrame, json_col: str = "profile_json", top: int = T
     size = _nonzero(F.col("n.size_output_bytes"), F.col("n.size_bytes")) / 1e6
     ops = n.select(
         "statement_id", "node_pos",
-        F.coalesce(F.col("n.node_name"), F.col("n.name"), F.col("n.description"), F.lit("—")).alias("operator"),
+        F.coalesce(*[F.nullif(F.col(f"n.{c}"), F.lit("")) for c in ("node_name", "name", "description")],
+                   F.lit("—")).alias("operator"),
         F.round(secs, 3).alias("duration_s"), rows.alias("rows_out"), F.round(size, 2).alias("size_mb"))
     per_stmt = Window.partitionBy("statement_id")
     ranked = Window.partitionBy("statement_id").orderBy(F.col("duration_s").desc(), "node_pos")
     total = F.sum("duration_s").over(per_stmt)
-    return (ops.withColumn("pct", F.round(F.col("duration_s") / F.nullif(total, F.lit(0.0)) * 100, 1))
-            .withColumn("rank", F.row_number().over(ranked))
-            .filter(F.col("rank") <= top))
+    out = (ops.withColumn("pct", F.round(F.col("duration_s") / F.nullif(total, F.lit(0.0)) * 100, 1))
+           .withColumn("rank", F.row_number().over(ranked)))
+    return out if top is None else out.filter(F.col("rank") <= top)
 
 
 def _duration_min(start: str, end: str) -> Column:

@@ -206,7 +206,7 @@ FROM (SELECT *, coalesce(read_bytes, 0) / 1e6 AS read_mb,
 )
 register(
     "profile_operators",
-    lambda lk: perf.profile_operators(lk.view("query_profiles"), "profile_json", 20),
+    lambda lk: perf.profile_operators(lk.view("query_profiles"), "profile_json"),
     q("""SELECT *, round(duration_s / NULLIF(SUM(duration_s) OVER (PARTITION BY statement_id), 0) * 100, 1) AS pct,
   CAST(row_number() OVER (PARTITION BY statement_id ORDER BY duration_s DESC, node_pos) AS INTEGER) AS rank
 FROM (
@@ -215,7 +215,7 @@ FROM (
   FROM events
   UNION ALL
   SELECT CAST(event_id AS VARCHAR), 1, 'Filter', round((event_id % 700) / 1e3, 3), CAST(0 AS BIGINT), CAST(0 AS DOUBLE) FROM events)
-QUALIFY rank <= 20"""),
+"""),
 )
 register(
     "pipeline_durations",

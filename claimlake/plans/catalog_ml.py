@@ -170,7 +170,7 @@ register(
 )
 register(
     "feature_importance",
-    lambda lk: model.feature_importance(lk.spark, _trained(lk), FEATURES, 10),
+    lambda lk: model.feature_importance(lk.spark, _trained(lk), FEATURES),
     None,
 )
 register(

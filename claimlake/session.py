@@ -38,7 +38,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     A cluster names it in ``spark.checkpoint.dir`` (or via ``setCheckpointDir``);
-    we only invent one when neither is set, which happens in local tests.
+    we only invent one on a ``local[n]`` session, as in tests; any other raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -46,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = os.path.join(tempfile.gettempdir(), f"claimlake-ckpt-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")

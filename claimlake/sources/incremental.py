@@ -49,7 +49,7 @@ def overlap_cutoff(target: DataFrame | None, date_expr: Column, days: int = OVER
 def overlap_refresh(target: DataFrame | None, source: DataFrame, date_col: str,
                     days: int = OVERLAP_DAYS, empty_cutoff: date = EMPTY_CUTOFF,
                     date_expr: Column | None = None) -> DataFrame:
-    """Target rows before the cutoff ∪ source rows from the cutoff on.
+    """Target rows before the cutoff (or without a date) ∪ source rows from the cutoff on.
 
     First run (``target is None``) is a full load of ``source``.  The cutoff is a
     scalar subquery (``DataFrame.scalar()``): computed once, pushed into both
@@ -59,7 +59,7 @@ def overlap_refresh(target: DataFrame | None, source: DataFrame, date_col: str,
     if target is None:
         return source
     cut = overlap_cutoff(target, d, days, empty_cutoff).scalar()
-    return target.filter(d < cut).unionByName(source.filter(d >= cut))
+    return target.filter(~F.coalesce(d >= cut, F.lit(False))).unionByName(source.filter(d >= cut))
 
 
 def overlap_refresh_enriched(target: DataFrame | None, source: DataFrame, names: DataFrame, key: str,
