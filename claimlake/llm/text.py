@@ -56,7 +56,7 @@ class Texts:
         return np.diff(self.offsets)
 
 
-def text_blocks(column: pa.Array, max_bytes: int = 4 << 20) -> Iterator[Texts]:
+def text_blocks(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[Texts]:
     """Blocks of consecutive texts of about ``max_bytes`` (a longer text is a block of its own); null: empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -100,7 +100,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hashes of the byte spans [start, end): equal spans, equal hashes wherever they stand."""
     up, down = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
+    sums = total[1:]
+    sums[:] = data
+    sums += np.uint64(1)
+    sums *= up[:len(data)]
+    np.cumsum(sums, out=sums)
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
