@@ -13,8 +13,11 @@ No bucket is expanded into all its pairs, and no bucket is gathered:
 3. Only buckets whose classes still lie in several components go on.  There, u(x), the number of x's shingles
    that no other remaining class has, bounds the similarity:
    J(x, y) <= min(c_x, c_y) / (max(c_x, c_y) + u_x + u_y) with c = size - u.
-   Pairs of different components that may reach the threshold by it are confirmed on full sets.  Pairs inside one
-   component are never needed: links only matter through components.
+   The class with the smallest u is a second hub: of many edited copies, the text they were made from.
+4. The remaining classes that then still lie in different components are paired by their rarest shingles (prefix and
+   position filter): two sets at the threshold share a shingle among the rarest of both, with enough others after it.
+   These pairs are confirmed on full sets.  Pairs inside one component are never needed: links only matter
+   through components.
 
 Defined cases: null or empty text: no shingles, linked with nothing; fewer words than ``width``: the whole sequence
 is the one shingle; null id: linked with nothing, component null, kept; rows of one id are one node; an empty
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, staged
@@ -123,15 +126,17 @@ def _confirm(batches: Iterator[pa.RecordBatch], width: int, per_cent: int) -> It
         yield pa.RecordBatch.from_arrays([pa.array(a_ids[linked]), pa.array(b_ids[linked])], names=["a", "b"])
 
 
-def _alone(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _each_shingle(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
         for t in text_blocks(batch.column("text"), 1 << 20):
             sets = _distinct(*document_shingles(t, width))
-            own = np.repeat(ids[t.first_row:t.first_row + len(t)], [len(s) for s in sets])
+            sizes = np.array([len(s) for s in sets], np.int64)
+            own = np.repeat(ids[t.first_row:t.first_row + len(t)], sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))],
-                names=["doc_id", "shingle"])
+                [pa.array(own), pa.array(np.repeat(sizes, sizes)),
+                 pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))],
+                names=["doc_id", "n", "shingle"])
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
@@ -166,19 +171,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> Data
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     left = staged(labelled.join(mixed.select("bucket"), "bucket"), "mixed")
     rest = left.select(F.col("rep").alias("doc_id")).distinct()
-    alone = (texts.join(rest, "doc_id", "left_semi").mapInArrow(lambda it: _alone(it, width), "doc_id long, shingle long")
-             .groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("top"))
-             .filter("doc_id = top").groupBy("doc_id").agg(F.count("*").alias("u")))
-    left = left.join(alone, left.rep == alone.doc_id, "left").select(
-        "bucket", "rep", "component", "n_shingles", F.coalesce("u", F.lit(0)).alias("u"))
-    # A class whose own shingles alone keep it below the threshold links with nothing.
-    left = staged(left.filter(100 * (F.col("n_shingles") - F.col("u")) >= per_cent * F.col("n_shingles"))
-                  .withColumn("c", F.col("n_shingles") - F.col("u")), "open")
-    x, y = left.alias("x"), left.alias("y")
-    more = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") < F.col("y.rep"))
-                   & (F.col("x.component") != F.col("y.component"))
-                   & (100 * F.least("x.c", "y.c") >= per_cent * (F.greatest("x.c", "y.c") + F.col("x.u") + F.col("y.u"))))
-            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
+    prefix = staged(_prefixes(texts.join(rest, "doc_id", "left_semi"), width, per_cent), "prefixes")
+    # The class with fewest shingles of its own is most like the others: it is the second hub of its bucket.
+    left = staged(left.join(prefix.filter("place = 1").select(F.col("doc_id").alias("rep"), "n", "c"), "rep"), "open")
+    central = left.groupBy("bucket").agg(F.min(F.struct(F.col("n") - F.col("c"), "rep", "component", "n", "c")).alias("y"))
+    again = staged(left.alias("x").join(central, "bucket").filter(_may_link(per_cent)).select(
+        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+        .distinct().join(pairs, ["a", "b"], "left_anti"), "again")
+    links = links.unionByName(staged(_verify(again, texts, width, per_cent), "links"))
+    label = connected_components(links)
+
+    # A prefix shingle matters where it meets another component, at a place that leaves enough shingles behind it.
+    open_ = staged(prefix.join(label, prefix.doc_id == label.node, "left").select(
+        "shingle", "doc_id", "n", "after", F.coalesce("component", "doc_id").alias("component")), "open")
+    worth = (open_.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                          F.min("n").alias("least_n"), F.max("after").alias("most_after"))
+             .filter("lo < hi").drop("lo", "hi"))
+    open_ = open_.join(worth, "shingle").filter(_enough("after", "most_after", "n", "least_n", per_cent))
+    more = (open_.alias("x").join(open_.alias("y"), (F.col("x.shingle") == F.col("y.shingle"))
+                                  & (F.col("x.doc_id") < F.col("y.doc_id"))
+                                  & (F.col("x.component") != F.col("y.component"))
+                                  & _enough("x.after", "y.after", "x.n", "y.n", per_cent))
+            .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+            .join(pairs.unionByName(again), ["a", "b"], "left_anti"))
     late = staged(_verify(more, texts, width, per_cent), "links")
     label = connected_components(links.unionByName(late))
 
@@ -190,6 +205,33 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> Data
     return linked.unionByName(plain).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _prefixes(texts: DataFrame, width: int, per_cent: int) -> DataFrame:
+    """(doc_id, n, c, shingle, place, after): of the n distinct shingles of each text, in order of the number of texts that
+    hold them, those early enough that a similar text must share one; c: those that some other text holds; after:
+    how many follow.  Shingles that no other text has come first in that order and are left out."""
+    rows = staged(texts.mapInArrow(lambda it: _each_shingle(it, width), "doc_id long, n long, shingle long"), "shingles")
+    held = rows.groupBy("shingle").agg(F.count("*").alias("texts")).filter("texts > 1")
+    own = Window.partitionBy("doc_id")
+    return (rows.join(held, "shingle")
+            .withColumn("c", F.count("*").over(own))
+            .withColumn("place", F.row_number().over(own.orderBy("texts", "shingle")))
+            .withColumn("after", F.col("c") - F.col("place"))
+            .filter(100 * (F.col("after") + 1) >= per_cent * F.col("n"))
+            .select("doc_id", "n", "c", "shingle", "place", "after"))
+
+
+def _enough(after_x: str, after_y: str, n_x: str, n_y: str, per_cent: int) -> F.Column:
+    """If a shingle is the first that x and y share, they can still reach the threshold."""
+    return (100 + per_cent) * (1 + F.least(after_x, after_y)) >= per_cent * (F.col(n_x) + F.col(n_y))
+
+
+def _may_link(per_cent: int) -> F.Column:
+    """Classes x and y of different components that may reach the threshold, with c of their n shingles in other texts."""
+    alone = F.col("x.n") - F.col("x.c") + F.col("y.n") - F.col("y.c")
+    return ((F.col("x.component") != F.col("y.component"))
+            & (100 * F.least("x.c", "y.c") >= per_cent * (F.greatest("x.c", "y.c") + alone)))
+
+
 def _size_bound(a: str, b: str, per_cent: int) -> F.Column:
     return 100 * F.least(a, b) >= per_cent * F.greatest(a, b)
 
