@@ -117,18 +117,35 @@ class PerfectIndex:
         return cls([bits[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], z["values"])
 
 
-def _encoded(texts: list[str | None], tokenizer) -> Iterator[np.ndarray]:
-    some: list[str] = []
-    size = 0
-    for text in texts:
-        some.append(text or "")
-        size += len(some[-1])
-        if size >= CHARS:
-            for e in tokenizer.encode_batch_fast(some, add_special_tokens=False):
-                yield np.array([*e.ids, END], "<u4")
-            some, size = [], 0
-    for e in tokenizer.encode_batch_fast(some, add_special_tokens=False):
-        yield np.array([*e.ids, END], "<u4")
+#: ASCII white space: the tokenizer drops it and joins nothing across it, so what lies between has ids of its own.
+BLANKS = "\t\n\v\f\r"
+#: Strings a task remembers the ids of at most, and their length; beyond that number it starts anew.
+KNOWN, KNOWN_CHARS = 1 << 18, 64
+
+
+def _encoded(texts: list[str | None], tokenizer, known: dict[str, bytes]) -> Iterator[np.ndarray]:
+    """Ids of each whole text and the end id.  ``known`` holds ids of blank-separated strings met before, so
+    that each is encoded once."""
+    end = np.array([END], "<u4").tobytes()
+    at = 0
+    while at < len(texts):
+        parts, size = [], 0
+        while at < len(texts) and size < CHARS:
+            text = texts[at] or ""
+            for blank in BLANKS:
+                text = text.replace(blank, " ")
+            parts.append(text.split(" "))
+            size, at = size + len(text), at + 1
+        new = list({w for p in parts for w in p if w not in known})
+        for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[w] = np.array(e.ids, "<u4").tobytes()
+        for p in parts:
+            yield np.frombuffer(b"".join([*map(known.__getitem__, p), end]), "<u4")
+        for w in new:
+            if len(w) > KNOWN_CHARS:
+                del known[w]
+        if len(known) > KNOWN:
+            known.clear()
 
 
 def _numbers(ids: pa.Array, last: tuple) -> tuple[np.ndarray, tuple]:
@@ -145,6 +162,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str) -> Iterato
     from tokenizers import Tokenizer
 
     tokenizer, name = Tokenizer.from_file(path), uuid.uuid4().hex
+    known: dict[str, bytes] = {}
     listed, lengths, last, first, null_first = [], [], (None, -1), None, False
     system, at = file_system(f"{folder}/{name}.ids")
     with system.open_output_stream(at, compression=None) as out:
@@ -155,7 +173,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str) -> Iterato
                 first = next((x for x in ids.to_pylist() if x is not None), None) if first is None else first
             nth, last = _numbers(ids, last)
             listed.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), nth))
-            for tokens in _encoded(batch.column("text").to_pylist(), tokenizer):
+            for tokens in _encoded(batch.column("text").to_pylist(), tokenizer, known):
                 out.write(tokens.tobytes())
                 lengths.append(len(tokens))
     if not lengths:

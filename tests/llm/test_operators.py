@@ -262,3 +262,21 @@ def test_warc(spark):
         assert got[page].refers_to == (5 if page in (1, 3) else None)
         assert got[page].record_type == ("revisit" if page in (1, 3) else "response")
     assert warc.read_archive(spark, warc.archive(pages.limit(0))).count() == 0
+
+
+def test_ids_of_blank_separated_strings_are_those_of_the_whole_text():
+    """Against whole-text encoding: marks after blanks, other white space, final sigma, special strings, very long strings."""
+    from tokenizers import Tokenizer
+
+    from claimlake.llm import token_files
+
+    tokenizer = Tokenizer.from_file(token_files.vocabulary())
+    rng = random.Random(11)
+    pieces = ["don't", "we'll", "'s", "\u0308a", "e\u0301", "\u00c5", "\u03a3\u0391\u03a3", "\u0130", "<|endoftext|>", "a<|endoftext|>b",
+              "12,3", "\u4f60\u597d", "\u1100\u1161", "\u11a8", "\U0001f600\u200d", "x" * 300, "\x1c", "\x85", "\ufb01", "\u00b4", "\x00"]
+    blanks = [" ", "  ", "\n", "\t", "\r\n", "\v", "\f", "\u00a0", "\u2028", "\x1c", ""]
+    texts = [None, "", " ", *("".join(rng.choice(pieces) + rng.choice(blanks) for _ in range(rng.randrange(1, 30))) for _ in range(400))]
+    known: dict = {}
+    got = [list(x) for x in token_files._encoded(texts, tokenizer, known)]
+    assert got == [[*tokenizer.encode(t or "", add_special_tokens=False).ids, token_files.END] for t in texts]
+    assert all(len(w) <= token_files.KNOWN_CHARS for w in known)
