@@ -1,6 +1,6 @@
 """A training-data pipeline over ``documents``: each stage is written as Parquet and read again as the next one's input.
 
-1. language ID: documents without letters, or whose best cosine is below ``LEAST_COSINE``, go;
+1. language ID: documents without a language (no letters) go; short ones stay, though their cosines are small;
 2. near-duplicate removal: one document of every group of near copies stays;
 3. decontamination: documents that hold a passage of a benchmark item go;
 4. mixing: documents are taken as often as the mix of sources takes them;
@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from claimlake.llm import decontaminate, langid, mixing, near_dedup, token_files
 from claimlake.llm.common import staged, table
 
-#: A text of any learned language lies far above this.
-LEAST_COSINE = 0.2
-
 
 def _rejoined(docs: DataFrame, verdict: DataFrame, keep: str) -> DataFrame:
     """Rows of ``docs`` whose doc_id has a verdict that fulfils ``keep``."""
@@ -27,7 +24,7 @@ def _rejoined(docs: DataFrame, verdict: DataFrame, keep: str) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.identify(docs)
-    return _rejoined(docs, found, f"lang_pred <> 'und' and score >= {LEAST_COSINE}")
+    return _rejoined(docs, found, "lang_pred <> 'und'")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
