@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -215,14 +216,87 @@ def _judge(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
                                          names=["row", "start", "end"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for block in _blocks(batches):
-        for length, places in block_repeats([r[4] for r in block], np.array([r[3] for r in block]), width)[3]:
-            c, s = places[0]
+def _lefts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every asked run with the byte before it (-1: the text begins there)."""
+    for batch in batches:
+        for row, text, asked in zip(*[batch.column(c) for c in ("row", "text", "asked")], strict=True):
+            text = text.as_buffer()
+            owner, context, start, n = (np.asarray(asked.values.field(c)) for c in ("owner", "context", "start", "n"))
+            before = np.frombuffer(text, np.uint8)[np.maximum(start - 1, 0)].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(owner), pa.array(context), pa.array(np.full(len(start), row.as_py())), pa.array(start), pa.array(n),
+                 pa.array(np.where(start > 0, before, -1).astype(np.int32))],
+                names=["owner", "context", "row", "start", "n", "left"])
+
+
+def _first_windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The windows of the asked contexts, by hash, with the least and largest byte before them in all copies."""
+    for batch in batches:
+        for text, asked in zip(batch.column("text"), batch.column("asked"), strict=True):
+            data = np.frombuffer(text.as_buffer(), np.uint8)
+            fields = [np.asarray(asked.values.field(c)) for c in ("owner", "context", "start", "n", "copies", "lo", "hi")]
+            for i in range(0, len(fields[0]), 2048):
+                owner, context, start, n, copies, lo, hi = (f[i:i + 2048] for f in fields)
+                offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                at = np.repeat(start, n) + offset
+                before = data[np.maximum(at - 1, 0)].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(span_hashes(data, at, at + width).view(np.int64)), pa.array(np.repeat(owner, n)),
+                     pa.array(np.repeat(context, n)), pa.array(offset), pa.array(np.repeat(copies, n)),
+                     pa.array(np.where(offset > 0, before, np.repeat(lo, n)).astype(np.int32)),
+                     pa.array(np.where(offset > 0, before, np.repeat(hi, n)).astype(np.int32))],
+                    names=["window", "owner", "context", "offset", "copies", "lo", "hi"])
+
+
+def _tails(batches: Iterator[pa.RecordBatch], skip: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``size`` bytes of every asked suffix after its first ``skip``, fewer where the text ends."""
+    names = ["key", "row", "start", "left", "tail"]
+    for batch in batches:
+        for row, text, asked in zip(*[batch.column(c) for c in ("row", "text", "asked")], strict=True):
+            text, row, out, held = text.as_py(), row.as_py(), [], 0
+            for a in asked.as_py():
+                out.append((a["key"], row, a["start"], a["left"], text[a["start"] + skip:a["start"] + skip + size]))
+                held += len(out[-1][4])
+                if held > 1 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
+                    out, held = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
+
+
+def _same(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return int((np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)).argmax())
+
+
+def _branch(batches: Iterator[pa.RecordBatch], skip: int, size: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Of suffixes sorted by key and tail, those of one key equal in their first ``skip`` bytes: the maximal repeats that
+    end within the tails (``on`` false), and the groups that are equal to the end of full tails (``on`` true)."""
+    def groups():
+        group: list[tuple] = []
+        for batch in batches:
+            for r in zip(*[batch.column(c).to_pylist() for c in ("key", "row", "start", "left", "tail")], strict=True):
+                if group and r[0] != group[0][0]:
+                    yield group
+                    group = []
+                group.append(r)
+        if group:
+            yield group
+
+    for group in groups():
+        lcp = [0, *(skip + _same(x[4], y[4]) for x, y in zip(group, group[1:]))]
+        for length, lo, hi in maximal_intervals(lcp, [r[3] for r in group], max(skip, width)):
+            on = length == skip + size
+            # Equal keys and equal tails: equal strings so far.
+            key = hashlib.blake2b(group[lo][0] + group[lo][4], digest_size=16).digest() if on else b""
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block[c][4][s:s + length]], pa.binary()), pa.array([length]),
-                 pa.array([[{"row": block[i][1], "start": block[i][2] + at} for i, at in places]])],
-                names=["string", "length", "places"])
+                [pa.array([on]), pa.array([key]), pa.array([length]),
+                 pa.array([[{"row": r[1], "start": r[2], "left": r[3]} for r in group[lo:hi]]],
+                          pa.list_(pa.struct([("row", pa.int64()), ("start", pa.int64()), ("left", pa.int32())])))],
+                names=["on", "key", "length", "places"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -330,12 +404,56 @@ class Repeats:
         many = windows.join(often, ["h1", "h2"]).select("row", "start", (F.col("start") + width).alias("end"))
         return whole.unionByName(some).unionByName(many)
 
+    def _begins(self) -> DataFrame:
+        """(key, row, start, left): all occurrences of the windows with which a maximal repeat can begin, which are those that
+        repeat after different bytes (the begin of a text differs from all).  Inside equal contexts the byte before
+        is the same, so one context of each class is looked into, and only its first window if the owner has no other."""
+        width, texts = self.width, self.base.select("row", "text")
+        asked = self.open.groupBy("row").agg(F.collect_list(F.struct("owner", "context", "start", "n")).alias("asked"))
+        runs_ = staged(texts.join(asked, "row").select("row", "text", "asked").mapInArrow(
+            _lefts, "owner long, context long, row long, start long, n long, left int"), "lefts")
+        before = runs_.groupBy("owner", "context").agg(F.min("left").alias("lo"), F.max("left").alias("hi"))
+        alone = self.classes.groupBy("owner").agg((F.count("*") + F.max("twice") == 1).alias("alone"))
+        asked = (self.classes.join(before, ["owner", "context"]).join(alone, "owner")
+                 .select("one.row", F.struct("owner", "context", "one.start", F.expr("if(alone, 1L, one.n)").alias("n"),
+                                             "copies", "lo", "hi").alias("a"))
+                 .groupBy("row").agg(F.collect_list("a").alias("asked")))
+        windows = texts.join(asked, "row").select("text", "asked").mapInArrow(
+            lambda it: _first_windows(it, width),
+            "window long, owner long, context long, offset long, copies long, lo int, hi int")
+        begin = (windows.groupBy("window").agg(F.sum("copies").alias("m"), F.min("lo").alias("least"), F.max("hi").alias("most"))
+                 .filter("m > 1 and (least = -1 or least < most)").select("window"))
+        return (windows.join(begin, "window").select("window", "owner", "context", "offset", "lo")
+                .join(runs_, ["owner", "context"])
+                .select(F.col("window").cast("string").cast("binary").alias("key"), "row", (F.col("start") + F.col("offset")).alias("start"),
+                        F.expr("if(offset = 0, left, lo)").alias("left")))
+
     def maximal(self) -> DataFrame:
-        """(string, length, places): maximal repeats among the contexts of owners that fit one task, with all their
-        occurrences (row, start); a context that occurs several times stands here once."""
-        width = self.width
-        return self.by_owner().mapInArrow(lambda it: _groups(it, width),
-                                          "string binary, length long, places array<struct<row: long, start: long>>")
+        """(string, length, places): all strings of ``width`` bytes or more that stand at several places (row, start), with
+        different bytes before them and different bytes after them (where a text begins or ends differs from all),
+        and all of their places.
+
+        The suffixes that can begin one are sorted within their first 2 ``width`` bytes, those that are equal in all of
+        these within as many bytes again, and so on: each round doubles the length, until no two are equal."""
+        width, texts = self.width, self.base.select("row", "text")
+        open_, found, skip, size = staged(self._begins(), "begins"), [], 0, 2 * width
+        while not open_.isEmpty():
+            asked = open_.groupBy("row").agg(F.collect_list(F.struct("key", "start", "left")).alias("asked"))
+            tails = texts.join(asked, "row").select("row", "text", "asked").mapInArrow(
+                lambda it, skip=skip, size=size: _tails(it, skip, size),
+                "key binary, row long, start long, left long, tail binary")
+            done = staged(tails.repartition(self.parts, "key").sortWithinPartitions("key", "tail").mapInArrow(
+                lambda it, skip=skip, size=size: _branch(it, skip, size, width),
+                "on boolean, key binary, length long, places array<struct<row: long, start: long, left: int>>"), "branches")
+            found.append(done.filter("not on").select("length", "places"))
+            open_ = done.filter("on").select("key", F.explode("places").alias("p")).select("key", "p.*")
+            skip, size = skip + size, skip + size
+        if not found:
+            found = [self.base.sparkSession.createDataFrame([], "length long, places array<struct<row: long, start: long, left: int>>")]
+        groups = reduce(DataFrame.unionByName, found).select(
+            "length", F.expr("transform(places, p -> struct(p.row, p.start))").alias("places"))
+        return (groups.join(texts, F.col("places")[0]["row"] == F.col("row")).select(
+            F.expr("substring(text, cast(places[0].start + 1 as int), cast(length as int))").alias("string"), "length", "places"))
 
     def removed(self) -> DataFrame:
         """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""

@@ -78,6 +78,56 @@ def test_maximal_repeats_with_all_places():
     assert (40, ((0, 1), (1, 1))) in found and (30, ((0, 1), (1, 1), (2, 1))) in found
 
 
+def _maximal(texts, width):
+    """By growing every repeated string by one byte at a time."""
+    now = collections.defaultdict(list)
+    for i, t in enumerate(texts):
+        for p in range(len(t) - width + 1):
+            now[t[p:p + width]].append((i, p))
+    out, length = set(), width
+    while now:
+        longer = collections.defaultdict(list)
+        for s, places in now.items():
+            if len(places) < 2:
+                continue
+            left = {texts[i][p - 1] if p else (i, p) for i, p in places}
+            right = {texts[i][p + length] if p + length < len(texts[i]) else (i, p) for i, p in places}
+            if len(left) > 1 and len(right) > 1:
+                out.add((s, tuple(sorted(places))))
+            for i, p in places:
+                if p + length < len(texts[i]):
+                    longer[texts[i][p:p + length + 1]].append((i, p))
+        now, length = longer, length + 1
+    return out
+
+
+def _found(spark, texts, width):
+    frame = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    r = repeats.Repeats(frame, width)
+    number = {x.row: x.doc_id for x in r.base.select("row", "doc_id").collect()}
+    got = [(bytes(x.string), x.length, tuple(sorted((number[p.row], p.start) for p in x.places))) for x in r.maximal().collect()]
+    assert all(len(s) == length for s, length, _ in got) and len(set(got)) == len(got)
+    return {(s, places) for s, _, places in got}
+
+
+def test_maximal_against_brute_force(spark, monkeypatch):
+    rng = random.Random(17)
+    make = lambda n: _words(rng, n).encode()
+    whole, passage, line = make(150), make(25), make(14)
+    assert _found(spark, [whole, whole], 40) == {(whole, ((0, 0), (1, 0)))}
+    texts = [b"", b"x", whole, whole, whole[:300] + b"!" + whole[300:], make(9) + whole, b"ab " * 60, b"ab " * 40 + b"c", passage,
+             passage + passage, line[:40], line[:41], b"z" * 90]
+    texts += [make(rng.randint(0, 12)) + b" " + passage + b" " + make(rng.randint(0, 12)) for _ in range(12)]
+    texts += [make(3) + line + make(3) + line + make(3) for _ in range(3)]
+    texts = [t.decode(errors="ignore").encode() for t in texts]
+    want = _maximal(texts, 40)
+    assert max(len(s) for s, _ in want) > 600 and max(len(p) for _, p in want) > 12
+    assert _found(spark, texts, 40) == want
+    monkeypatch.setattr(repeats, "HOT", 1)
+    assert _found(spark, texts, 40) == want
+    assert _found(spark, [b"", make(60)], 40) == set()
+
+
 def test_near_duplicates(docs, rows, empty):
     sets = collections.OrderedDict()
     for doc, b in _bytes(rows):
