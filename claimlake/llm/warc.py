@@ -71,12 +71,20 @@ def _record(stream, want, payload: bool) -> tuple[tuple | None, bool]:
         raise ValueError("not a member with a skip length")
     whole = EXTRA.unpack(stream.read(EXTRA.size))[3]
     left = whole - HEAD.size - EXTRA.size
-    inflate, plain = zlib.decompressobj(-15), b""
-    while b"\r\n\r\n" not in plain and left:
-        piece = stream.read(min(left, _CHUNK))
-        left -= len(piece)
-        plain += inflate.decompress(piece, _CHUNK)
-    header, _, block = plain.partition(b"\r\n\r\n")
+    inflate, plain, end, seen = zlib.decompressobj(-15), bytearray(), -1, 0
+    while end < 0:
+        piece = inflate.unconsumed_tail
+        if not piece:
+            piece = stream.read(min(left, _CHUNK))
+            left -= len(piece)
+        # Without a piece, what the inflater still holds.
+        more = inflate.decompress(piece, _CHUNK)
+        if not piece and not more or inflate.eof and not more:
+            raise ValueError("a record without the end of its header")
+        plain += more
+        end = plain.find(b"\r\n\r\n", seen)
+        seen = max(len(plain) - 3, 0)
+    header, block = bytes(plain[:end]), bytes(plain[end + 4:])
     fields = dict(line.split(": ", 1) for line in header.decode().split("\r\n")[1:] if ": " in line)
     values = {c: fields.get(name) for c, name in FIELDS.items()}
     values["payload_bytes"] = int(values["payload_bytes"]) if values["payload_bytes"] else None

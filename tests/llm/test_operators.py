@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import io
 import random
 import re
 import zlib
@@ -314,6 +315,30 @@ def test_warc(spark):
     assert warc.read_archive(spark, warc.archive(pages.limit(0))).count() == 0
 
 
+def test_warc_headers_of_any_length(spark):
+    rng = random.Random(13)
+    html = "<p>" + "r\r\n\r\n" * 400
+    drawn = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789%&=", k=200_000))
+    urls = {1: "http://a/?" + "q" * 200_000, 2: "data:" + drawn, 3: "http://b/?" + "q" * 200_000, 4: "data:x" + drawn, 5: "u"}
+    pages = spark.createDataFrame([(i, u, html if i > 2 else f"{i}") for i, u in urls.items()], "page_id long, url string, html string")
+    got = {r.page_id: r for r in warc.read_archive(spark, warc.archive(pages)).collect()}
+    assert {i: r.target_uri for i, r in got.items()} == urls
+    assert [got[i].record_type for i in range(1, 6)] == ["response", "response", "revisit", "revisit", "response"]
+    assert all(got[i].refers_to == 5 and got[i].payload_bytes == len(html) for i in (3, 4))
+
+
+def test_warc_headers_that_end_near_a_chunk():
+    for fill in ("q", "".join(random.Random(1).choices("abcdefghijklmnop", k=140_000))):
+        for size in [*range(65_536 - 160, 65_536 + 8), *range(131_072 - 160, 131_072 + 8)]:
+            url = (fill * size)[:size] if len(fill) == 1 else fill[:size]
+            row = {"record_id": "a", "record_type": "response", "target_uri": url, "payload_bytes": 9, "payload": b"x\r\n\r\nyz\r\n"}
+            stream = io.BytesIO(warc.pack_record(row) * 2)
+            for payload in (True, False):
+                record, there = warc._record(stream, lambda values: True, payload)
+                assert there and record[2] == url and record[-1] == (row["payload"] if payload else None)
+            assert warc._record(stream, lambda values: True, True) == (None, False)
+
+
 def test_ids_of_blank_separated_strings_are_those_of_the_whole_text():
     """Against whole-text encoding: marks after blanks, other white space, final sigma, special strings, very long strings."""
     from tokenizers import Tokenizer
