@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -91,8 +92,10 @@ def _score(batches: Iterator[pa.RecordBatch], langs: list[str], prototypes: np.n
             best = cos.argmax(axis=1)
             pred += [langs[b] if k else "und" for b, k in zip(best, known, strict=True)]
             score += np.where(known, np.clip(cos[np.arange(len(v)), best], 0, 1), 0.0).round(9).tolist()
+        more = [c for c in batch.schema.names if c == "given"]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()),
-                                          pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+                                          pa.array(score, pa.float64()), *[batch.column(c) for c in more]],
+                                         names=["doc_id", "held_out", "lang_pred", "score", *more])
 
 
 def prototypes(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -104,10 +107,16 @@ def prototypes(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     return [r.lang for r in rows], _unit(np.array([r.v for r in rows], np.float64).reshape(len(rows), DIMENSIONS))
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row of ``docs`` (doc_id, text, lang)."""
+def identify(docs: DataFrame, given: bool = False) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of every row of ``docs`` (doc_id, text, lang); ``given``: and the row itself, as a
+    struct of that name."""
+    more = [F.struct(*docs.columns).alias("given")] if given else []
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang",
-                       F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)).alias("held_out"))
+                       F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)).alias("held_out"),
+                       *more)
     langs, vectors = prototypes(docs.filter("not held_out"))
-    return docs.select("doc_id", "text", "held_out").mapInArrow(
-        lambda it: _score(it, langs, vectors), "doc_id long, held_out boolean, lang_pred string, score double")
+    docs = docs.drop("lang")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
+                           T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           *[f for f in docs.schema if f.name == "given"]])
+    return docs.mapInArrow(lambda it: _score(it, langs, vectors), schema)

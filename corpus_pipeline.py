@@ -1,7 +1,7 @@
 """A training-data pipeline over ``documents``: each stage is written as Parquet and read again as the next one's input.
 
 1. language ID: documents without a language (no letters) go; short ones stay, though their cosines are small;
-2. near-duplicate removal: one document of every group of near copies stays;
+2. near-duplicate removal: one row of every group of near copies stays;
 3. decontamination: documents that hold a passage of a benchmark item go;
 4. mixing: documents are taken as often as the mix of sources takes them;
 5. token files: the mix as token ids, in shards with an index, read back as one row per document.
@@ -16,19 +16,18 @@ from claimlake.llm import decontaminate, langid, mixing, near_dedup, token_files
 from claimlake.llm.common import staged, table
 
 
-def _rejoined(docs: DataFrame, verdict: DataFrame, keep: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id has a verdict that fulfils ``keep``."""
-    ids = verdict.filter(keep).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify(docs)
-    return _rejoined(docs, found, "lang_pred <> 'und'")
+    return langid.identify(docs, given=True).filter("lang_pred <> 'und'").select("given.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _rejoined(docs, near_dedup.near_duplicates(docs), "kept")
+    """Every row is a document by itself, whatever its doc_id; of a group the one with the smallest doc_id stays (null last)."""
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("given")), "numbered")
+    found = near_dedup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "given.text"))
+    order = F.struct(F.col("given.doc_id").isNull().alias("no_id"), "given.doc_id", F.xxhash64("given").alias("content"), "row")
+    first = (found.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", order.alias("rank")), "row")
+             .groupBy("component_id").agg(F.min("rank").alias("first")).select("first.row"))
+    return rows.join(first, "row", "left_semi").select("given.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

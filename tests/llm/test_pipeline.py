@@ -16,3 +16,19 @@ def test_language_id_keeps_short_clean_texts(spark):
     kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").select("doc_id").collect()}
     letters = {r.doc_id for r in given.collect() if any(ch.isalpha() for ch in r.text or "")}
     assert kept == letters | {r[0] for r in short}
+
+
+def test_stages_judge_every_row_by_itself(spark):
+    words = [" ".join(f"{chr(97 + i)}{chr(97 + j)}" for j in range(26)) for i in range(8)]
+    near = words[0] + " " + words[4] + " " + words[5] + " " + words[6]
+    rows = [(1, near, "en", "s"), (1, near, "en", "s"), (2, words[1], "en", "s"), (2, near + " end", "en", "s"),
+            (None, words[2], "en", "s"), (None, words[2], "en", "s"), (3, words[3], "en", "s"), (None, words[3], "en", "t"),
+            (4, words[7], "en", "s"), (4, "12 34 !", "en", "s"), (5, None, "en", "s"), (5, None, "en", "s")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [rows[i] for i in (0, 2, 4, 6, 8, 9, 10, 11)]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
+    lettered = corpus_pipeline.language_id(spark, docs, "")
+    assert lettered.columns == docs.columns
+    assert sorted(map(str, map(tuple, lettered.collect()))) == sorted(str(r) for r in rows if r[1] not in (None, "12 34 !"))
