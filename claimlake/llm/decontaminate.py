@@ -14,8 +14,8 @@ Verification: question (all of an item but its last sentence) and answer (its la
 passage: ``per_cent`` of the whole item's distinct shingles, and for each part that has shingles of its own at least
 half of them, must occur in the passage.
 
-Index size: items are searched in slices of at most ``SLICE_BYTES`` of text, so that what every task holds is bounded;
-all slices are searched.  Defined cases: null or empty text: clean; items without words: never matched; items shorter
+Index size: items are searched in slices of about half of ``SLICE_BYTES`` of text, one after the other over numbered rows,
+and each slice's matches are staged: a task, and the driver, hold the index of one slice.  All are searched.  Defined cases: null or empty text: clean; items without words: never matched; items shorter
 than five words: their whole sequence is one shingle; null doc_id: kept with its own matches; null item_id: never
 named, still a match; repeated rows: each by itself; empty tables: no rows, or no matches; other columns pass through,
 but for those named n_items, item_ids, found_n and found_items.
@@ -24,12 +24,15 @@ but for those named n_items, item_ids, found_n and found_items.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .common import staged
 from .text import LOWER, Texts, mix, shingles, span_hashes, text_blocks, words
 
 K1, B = 1.2, 0.75
@@ -211,24 +214,41 @@ def _windows(part: np.ndarray, width: int, size: int) -> np.ndarray:
     return np.unique(h)
 
 
+def _index(items: DataFrame, slices: int, i: int, width: int, per_cent: int) -> ItemIndex | None:
+    rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i).orderBy("item_id", "text").collect()
+    index = ItemIndex([r.item_id for r in rows], [r.text for r in rows], width, per_cent) if rows else None
+    return index if index and len(index.terms) else None
+
+
+def _found(texts: DataFrame, index: ItemIndex) -> DataFrame:
+    schema = T.StructType([*texts.schema, T.StructField("found_n", T.LongType()),
+                           T.StructField("found_items", T.ArrayType(T.LongType()))])
+    return texts.mapInArrow(lambda it: _search(it, index), schema)
+
+
+def _matches(texts: DataFrame, items: DataFrame, slices: int, i: int, width: int, per_cent: int) -> DataFrame | None:
+    """The rows of ``texts`` with matches in slice ``i``, staged: nothing holds the slice's index afterwards."""
+    index = _index(items, slices, i, width, per_cent)
+    return index and staged(_found(texts, index).filter("found_n > 0").select("row", "found_n", "found_items"), "matches")
+
+
 def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
     """``docs`` with ``n_items`` (test items that a passage of the row holds) and ``item_ids`` (sorted)."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(1, -(-total // (SLICE_BYTES // 2)))
-    keep = [c for c in docs.columns if c not in ("n_items", "item_ids", "found_n", "found_items")]
-    out = docs.select(*keep, F.lit(0).cast("long").alias("n_items"), F.array().cast("array<bigint>").alias("item_ids"))
-    for i in range(slices):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i).orderBy("item_id", "text").collect()
-        if not rows:
-            continue
-        index = ItemIndex([r.item_id for r in rows], [r.text for r in rows], width, per_cent)
-        if not len(index.terms):
-            continue
-        schema = docs.select(*keep).schema
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        out = (out.mapInArrow(lambda it, x=index: _search(it, x),
-                              f"{fields}, n_items bigint, item_ids array<bigint>, found_n bigint, found_items array<bigint>")
-               .select(*keep, (F.col("n_items") + F.col("found_n")).alias("n_items"),
-                       F.sort_array(F.concat("item_ids", "found_items")).alias("item_ids")))
-    return out
+    docs = docs.select(*[c for c in docs.columns if c not in ("n_items", "item_ids", "found_n", "found_items")])
+    none = docs.select("*", F.lit(0).cast("long").alias("n_items"), F.array().cast("array<bigint>").alias("item_ids"))
+    if slices == 1:
+        index = _index(items, 1, 0, width, per_cent)
+        return none if index is None else _found(docs, index).withColumnsRenamed({"found_n": "n_items", "found_items": "item_ids"})
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("given")), "numbered")
+    texts = rows.select("row", "given.text")
+    found = [m for i in range(slices) if (m := _matches(texts, items, slices, i, width, per_cent)) is not None]
+    if not found:
+        return none
+    found = reduce(DataFrame.unionByName, found).groupBy("row").agg(
+        F.sum("found_n").alias("found_n"), F.sort_array(F.flatten(F.collect_list("found_items"))).alias("found_items"))
+    return rows.join(found, "row", "left").select(
+        "given.*", F.coalesce("found_n", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("found_items", F.array().cast("array<bigint>")).alias("item_ids"))

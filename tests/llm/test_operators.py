@@ -281,6 +281,19 @@ def test_decontamination_keeps_no_cut_item(spark):
     assert all(r.item_ids == [r.doc_id] for r in found)
 
 
+def test_decontamination_holds_one_slice_at_a_time(spark, docs, rows, monkeypatch):
+    rng = random.Random(21)
+    items = [(i, rows[8][1] if i in (3, 30) else _words(rng, 40)) for i in range(40)] + [(None, rows[8][1])]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    whole = decontaminate.contaminated(docs, items)
+    want = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 3000)
+    got = decontaminate.contaminated(docs, items)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 1
+    assert got.columns == whole.columns and sorted(map(str, got.collect())) == want
+    assert {(r.n_items, tuple(r.item_ids)) for r in got.collect()} == {(0, ()), (3, (3, 30))}
+
+
 def test_language_id(spark, docs, rows, empty):
     got = langid.identify(docs).collect()
     assert len(got) == len(rows)
