@@ -1,15 +1,17 @@
 """Token ids of documents in binary shards, with a minimal perfect hash index over the document keys.
 
-Documents are range-partitioned and sorted by key; each task encodes its range and writes three files under random
-names: the raw ids (little-endian unsigned 32-bit), the index, and the list of keys.  What the tasks return, one row per shard, is
-staged and so names the files that count: those of lost or repeated tasks are never read.
+Documents are range-partitioned and sorted by key (rows of one doc_id by a hash of their texts, then by their place, so
+that no id has to fit one task); each task encodes its range and writes three files under random names: the raw ids
+(little-endian, 16 bits wide if the vocabulary allows, else 32; the first eight bytes of the file hold the width), the
+index, and the list of keys.  What the tasks return, one row per shard, is staged and so names the files that count: those
+of lost or repeated tasks are never read.
 
 Index of a shard: levels of bit arrays.  A key whose bit on a level no other key wants stays there, the others go to
 the next level; a key's rank among all set bits is its slot.  Slots hold a 32-bit fingerprint of the key, the offset
 and the length of its ids.  A lookup takes one probe per level, and keys that are not there fail by fingerprint.
 
 Defined cases: null or empty text: the end id alone; null doc_id: before all others; rows of one doc_id: told apart
-by their number in the order of their texts; empty table: no rows; other columns are not read.
+by their number in their shard; empty table: no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,14 +122,29 @@ class PerfectIndex:
 
 #: ASCII white space: the tokenizer drops it and joins nothing across it, so what lies between has ids of its own.
 BLANKS = "\t\n\v\f\r"
-#: Strings a task remembers the ids of at most, and their length; beyond that number it starts anew.
-KNOWN, KNOWN_CHARS = 1 << 18, 64
-
-
-def _encoded(texts: list[str | None], tokenizer, known: dict[str, bytes]) -> Iterator[np.ndarray]:
-    """Ids of each whole text and the end id.  ``known`` holds ids of blank-separated strings met before, so
-    that each is encoded once."""
-    end = np.array([END], "<u4").tobytes()
+#: Characters of the strings a worker remembers the ids of at most, and the number of strings of one generation.
+KNOWN_CHARS, KNOWN = 64, 500_000
+#: Bytes before the ids in a file of ids.
+HEADER = 8
+
+
+def _learn(strings: set[str], tokenizer, known: dict[str, bytes], old: dict[str, bytes], dtype: str) -> list[str]:
+    """Brings all of ``strings`` into ``known``; returns those too long to stay there."""
+    missing = strings.difference(known)
+    known.update((w, old[w]) for w in missing.intersection(old))
+    new = list(missing.difference(old))
+    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        known[w] = np.array(e.ids, dtype).tobytes()
+    return [w for w in new if len(w) > KNOWN_CHARS]
+
+
+def _encoded(texts: list[str | None], tokenizer, known: dict[str, bytes], old: dict[str, bytes] | None = None,
+             dtype: str = "<u4") -> Iterator[np.ndarray]:
+    """Ids of each whole text and the end id.  ``known`` and ``old`` hold ids of blank-separated strings met before, so
+    that each is encoded once: a string used again moves to ``known``; when that is full it becomes ``old``, which is
+    forgotten."""
+    old = {} if old is None else old
+    end = np.array([END], dtype).tobytes()
     at = 0
     while at < len(texts):
         parts, size = [], 0
@@ -136,18 +154,43 @@ def _encoded(texts: list[str | None], tokenizer, known: dict[str, bytes]) -> Ite
                 text = text.replace(blank, " ")
             parts.append(text.split(" "))
             size, at = size + len(text), at + 1
-        new = list({w for p in parts for w in p if w not in known})
-        for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+        long = _learn(set().union(*parts), tokenizer, known, old, dtype)
         for p in parts:
-            yield np.frombuffer(b"".join([*map(known.__getitem__, p), end]), "<u4")
-        for w in new:
-            if len(w) > KNOWN_CHARS:
-                del known[w]
+            yield np.frombuffer(b"".join([*map(known.__getitem__, p), end]), dtype)
+        for w in long:
+            del known[w]
         if len(known) > KNOWN:
+            old.clear()
+            old.update(known)
             known.clear()
 
 
+class Encoder:
+    """A tokenizer, the width of its ids and the strings it met."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.dtype = "<u2" if max(self.tokenizer.get_vocab_size(), END + 1) <= 1 << 16 else "<u4"
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        return _encoded(texts, self.tokenizer, self.known, self.old, self.dtype)
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per Python worker, which Spark uses for many tasks: later tasks find the strings of earlier ones."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def _numbers(ids: pa.Array, last: tuple) -> tuple[np.ndarray, tuple]:
     """The number of each row among the rows of its id; rows come sorted, ``last`` is the (id, number) before."""
     out = np.zeros(len(ids), np.int64)
@@ -158,22 +201,17 @@ def _numbers(ids: pa.Array, last: tuple) -> tuple[np.ndarray, tuple]:
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str) -> Iterator[pa.RecordBatch]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer, name = Tokenizer.from_file(path), uuid.uuid4().hex
-    known: dict[str, bytes] = {}
-    listed, lengths, last, first, null_first = [], [], (None, -1), None, False
+    made, name, part = encoder(path), uuid.uuid4().hex, TaskContext.get().partitionId()
+    width = np.dtype(made.dtype).itemsize
+    listed, lengths, last = [], [], (None, -1)
     system, at = file_system(f"{folder}/{name}.ids")
     with system.open_output_stream(at, compression=None) as out:
+        out.write(np.array([width], "<u8").tobytes())
         for batch in batches:
             ids = batch.column("doc_id")
-            if len(ids):
-                null_first |= not listed and ids[0].as_py() is None
-                first = next((x for x in ids.to_pylist() if x is not None), None) if first is None else first
             nth, last = _numbers(ids, last)
             listed.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), nth))
-            for tokens in _encoded(batch.column("text").to_pylist(), tokenizer, known):
+            for tokens in made.encode(batch.column("text").to_pylist()):
                 out.write(tokens.tobytes())
                 lengths.append(len(tokens))
     if not lengths:
@@ -184,45 +222,58 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str) -> Iterato
     out = io.BytesIO()
     np.savez(out, ids=ids, null=null, nth=nth)
     write_bytes(f"{folder}/{name}.keys", out.getvalue())
-    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([null_first]), pa.array([first], pa.int64()),
-                                      pa.array([int(n.sum())]), pa.array([len(n)])],
-                                     names=["name", "null_first", "first_id", "n_ids", "n_docs"])
-
-
-def _sorted(docs: DataFrame, parts: int) -> DataFrame:
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int32()), pa.array([int(n.sum())]), pa.array([len(n)])],
+                                     names=["name", "part", "n_ids", "n_docs"])
 
 
 def write_shards(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Writes the shards; returns one row per shard: folder, name, first key, number of ids and documents, and the
-    number of ids before it."""
+    """Writes the shards; returns one row per shard: folder, name, part (shards in key order), number of ids and
+    documents, and the number of ids before it."""
     spark, path = docs.sparkSession, path or vocabulary()
     folder = scratch_path(spark, "ids")
     make_folder(folder)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    made = staged(_sorted(docs, parts).mapInArrow(lambda it: _write(it, folder, path),
-                                                  "name string, null_first boolean, first_id long, n_ids long, n_docs long"), "shards")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"),
+                        F.monotonically_increasing_id().alias("place"))
+    key = ["doc_id", "mark", "place"]
+    ranges = keyed.repartitionByRange(*key).sortWithinPartitions(*key).select("doc_id", "text")
+    made = staged(ranges.mapInArrow(lambda it: _write(it, folder, path), "name string, part int, n_ids long, n_docs long"), "shards")
     # One row per file: an ordered sum over files, not documents.
-    before = Window.orderBy(F.col("null_first").desc(), F.col("first_id").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return made.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).withColumn("folder", F.lit(folder))
 
 
+class IdFile:
+    """Reads ids of a shard by offset, as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, base: str):
+        system, at = file_system(f"{base}.ids")
+        self.file = system.open_input_file(at)
+        self.width = int(np.frombuffer(self.file.read_at(HEADER, 0), "<u8")[0])
+
+    def __enter__(self) -> IdFile:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.file.close()
+
+    def read(self, offset: int, length: int) -> np.ndarray:
+        raw = self.file.read_at(length * self.width, HEADER + offset * self.width)
+        return np.frombuffer(raw, f"<u{self.width}").astype("<u4")
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of each shard, each found by its key through the index."""
     for batch in batches:
         for row in batch.to_pylist():
             base = f"{row['folder']}/{row['name']}"
             index, listed = PerfectIndex.load(read_bytes(f"{base}.mph")), np.load(io.BytesIO(read_bytes(f"{base}.keys")))
-            system, at = file_system(f"{base}.ids")
-            with system.open_input_file(at) as f:
+            with IdFile(base) as f:
                 for lo in range(0, row["n_docs"], 4096):
                     ids, null, nth = (listed[c][lo:lo + 4096] for c in ("ids", "null", "nth"))
                     found, offset, length = index.find(key_words(ids, null, nth))
                     if not found.all():
                         raise ValueError(f"keys missing from {base}")
-                    crc = [zlib.crc32(f.read_at(int(n) * 4, int(o) * 4)) for o, n in zip(offset, length, strict=True)]
+                    crc = [zlib.crc32(f.read(int(o), int(n)).tobytes()) for o, n in zip(offset, length, strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids, pa.int64(), mask=null), pa.array(offset + row["start"]), pa.array(length),
                          pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
@@ -241,6 +292,5 @@ def lookup(row: dict, doc_id: int | None, nth: int = 0) -> np.ndarray | None:
     found, offset, length = PerfectIndex.load(read_bytes(f"{base}.mph")).find(key)
     if not found[0]:
         return None
-    system, at = file_system(f"{base}.ids")
-    with system.open_input_file(at) as f:
-        return np.frombuffer(f.read_at(int(length[0]) * 4, int(offset[0]) * 4), "<u4")
+    with IdFile(base) as f:
+        return f.read(int(offset[0]), int(length[0]))

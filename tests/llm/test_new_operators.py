@@ -180,3 +180,33 @@ def test_chat_of_one_turn_number_and_of_nothing(spark):
     assert (row.n_turns, row.loss_chars) == (4, 3)
     empty = spark.createDataFrame([], schema)
     assert chat.read_back(chat.format_chat(empty)).count() == 0 and chat.texts(chat.format_chat(empty)).count() == 0
+
+
+def test_id_files_of_both_widths_and_forgotten_strings(spark, tmp_path, monkeypatch):
+    import json
+
+    from claimlake.llm import token_files
+
+    docs = spark.createDataFrame([(i % 3, f"some words {i % 7} of text {i}") for i in range(200)] + [(None, None)] * 40, "doc_id long, text string")
+    plain = sorted(map(str, token_files.read_shards(token_files.write_shards(docs)).collect()))
+    big = json.load(open(token_files.vocabulary()))
+    big["added_tokens"] += [{**big["added_tokens"][0], "id": 49_408 + i, "content": f"<|extra{i}|>"} for i in range(17_000)]
+    (tmp_path / "wide.json").write_text(json.dumps(big))
+    shards = token_files.write_shards(docs, str(tmp_path / "wide.json"))
+    with token_files.IdFile("{folder}/{name}".format(**shards.first().asDict())) as f:
+        assert f.width == 4
+    assert sorted(map(str, token_files.read_shards(shards).collect())) == plain
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        one_id = token_files.write_shards(spark.createDataFrame([(1, f"text {i}") for i in range(300)], "doc_id long, text string"))
+        back = sorted(token_files.read_shards(one_id).collect(), key=lambda r: r.start)
+        assert one_id.count() > 1 and len(back) == 300
+        assert all(x.start + x.n_tokens == y.start for x, y in zip(back, back[1:]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    made = token_files.Encoder(token_files.vocabulary())
+    texts = [f"w{i} x{i % 5} y{i // 3}" for i in range(60)] * 2
+    want = [[*made.tokenizer.encode(t, add_special_tokens=False).ids, token_files.END] for t in texts]
+    monkeypatch.setattr(token_files, "KNOWN", 20)
+    monkeypatch.setattr(token_files, "CHARS", 30)
+    assert [list(x) for x in made.encode(texts)] == want and len(made.known) + len(made.old) < 60
