@@ -21,6 +21,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -128,35 +129,88 @@ KNOWN_CHARS, KNOWN = 64, 500_000
 HEADER = 8
 
 
-def _learn(strings: set[str], tokenizer, known: dict[str, bytes], old: dict[str, bytes], dtype: str) -> list[str]:
-    """Brings all of ``strings`` into ``known``; returns those too long to stay there."""
-    missing = strings.difference(known)
-    known.update((w, old[w]) for w in missing.intersection(old))
-    new = list(missing.difference(old))
-    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[w] = np.array(e.ids, dtype).tobytes()
-    return [w for w in new if len(w) > KNOWN_CHARS]
+class Pieces:
+    """What may be taken apart before encoding without a change of ids, found out from the tokenizer itself."""
+
+    def __init__(self, tokenizer):
+        def ids(text: str) -> list[int]:
+            return tokenizer.encode(text, add_special_tokens=False).ids
+
+        self.tokenizer = tokenizer
+        self.marks = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        #: Upper case gives the ids of lower case.
+        self.no_case = all(ids(w) == ids(w.lower()) for w in ("A", "The", "QXZ", "MiXeD"))
+        #: A comma or full stop at the end of a word is a piece of its own.
+        before = tokenizer.pre_tokenizer
+        self.ends = {end: ids(end) for end in ",."
+                     if before is not None and [p for p, _ in before.pre_tokenize_str(f"word{end}")][1:] == [end]}
+        #: A bar between blanks is one id, which text without a bar never has; it separates strings encoded in one call.
+        bar = ids("|")
+        alone = len(bar) == 1 and "|" in (tokenizer.id_to_token(bar[0]) or "") and ids("a | b") == ids("a") + bar + ids("b")
+        self.bar = bar[0] if alone else None
+
+    def lowered(self, text: str) -> str:
+        return text.lower() if self.no_case and text.isascii() and not any(m[:2] in text for m in self.marks) else text
+
+    def encode(self, strings: list[str], dtype: str) -> Iterator[tuple[str, bytes]]:
+        """(string, its ids), for blank-free strings."""
+        together = [w for w in strings if w and "|" not in w] if self.bar is not None else []
+        if together:
+            flat = np.array(self.tokenizer.encode_batch_fast([" | ".join([*together, ""])], add_special_tokens=False)[0].ids, dtype)
+            cuts = (np.flatnonzero(flat == self.bar) * flat.itemsize).tolist()
+            if len(cuts) != len(together):
+                raise ValueError("a separator is missing among the ids")
+            raw = flat.tobytes()
+            yield from zip(together, (raw[a:b] for a, b in zip([0, *(c + flat.itemsize for c in cuts)], cuts)), strict=True)
+        apart = strings if self.bar is None else [w for w in strings if not w or "|" in w]
+        for w, e in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False), strict=True):
+            yield w, np.array(e.ids, dtype).tobytes()
+
+
+def _learn(missing: set[str], pieces: Pieces, known: dict[str, bytes], old: dict[str, bytes], dtype: str) -> list[str]:
+    """Brings all of ``missing`` into ``known``; returns those too long to stay there."""
+    ended = []
+    for w in [*missing]:
+        if w in old:
+            known[w] = old[w]
+            missing.discard(w)
+        elif w[-1:] in pieces.ends and w[-2:-1].isalnum():
+            ended.append(w)
+            missing.discard(w)
+            if w[:-1] not in known:
+                if w[:-1] in old:
+                    known[w[:-1]] = old[w[:-1]]
+                else:
+                    missing.add(w[:-1])
+    new = list(missing)
+    known.update(pieces.encode(new, dtype))
+    for w in ended:
+        known[w] = known[w[:-1]] + np.array(pieces.ends[w[-1]], dtype).tobytes()
+    return [w for w in chain(new, ended) if len(w) > KNOWN_CHARS]
 
 
 def _encoded(texts: list[str | None], tokenizer, known: dict[str, bytes], old: dict[str, bytes] | None = None,
-             dtype: str = "<u4") -> Iterator[np.ndarray]:
+             dtype: str = "<u4", pieces: Pieces | None = None) -> Iterator[np.ndarray]:
     """Ids of each whole text and the end id.  ``known`` and ``old`` hold ids of blank-separated strings met before, so
     that each is encoded once: a string used again moves to ``known``; when that is full it becomes ``old``, which is
     forgotten."""
-    old = {} if old is None else old
+    old, pieces = {} if old is None else old, pieces or Pieces(tokenizer)
     end = np.array([END], dtype).tobytes()
     at = 0
     while at < len(texts):
         parts, size = [], 0
         while at < len(texts) and size < CHARS:
-            text = texts[at] or ""
+            text = pieces.lowered(texts[at] or "")
             for blank in BLANKS:
                 text = text.replace(blank, " ")
             parts.append(text.split(" "))
             size, at = size + len(text), at + 1
-        long = _learn(set().union(*parts), tokenizer, known, old, dtype)
-        for p in parts:
-            yield np.frombuffer(b"".join([*map(known.__getitem__, p), end]), dtype)
+        found = [[*map(known.get, p)] for p in parts]
+        missing = {w for p, f in zip(parts, found, strict=True) if None in f for w, x in zip(p, f, strict=True) if x is None}
+        long = _learn(missing, pieces, known, old, dtype)
+        for p, f in zip(parts, found, strict=True):
+            ids = [known[w] if x is None else x for w, x in zip(p, f, strict=True)] if None in f else f
+            yield np.frombuffer(b"".join([*ids, end]), dtype)
         for w in long:
             del known[w]
         if len(known) > KNOWN:
@@ -173,12 +227,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = Pieces(self.tokenizer)
         self.dtype = "<u2" if max(self.tokenizer.get_vocab_size(), END + 1) <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        return _encoded(texts, self.tokenizer, self.known, self.old, self.dtype)
+        return _encoded(texts, self.tokenizer, self.known, self.old, self.dtype, self.pieces)
 
 
 _ENCODERS: dict[str, Encoder] = {}
