@@ -210,3 +210,40 @@ def test_id_files_of_both_widths_and_forgotten_strings(spark, tmp_path, monkeypa
     monkeypatch.setattr(token_files, "KNOWN", 20)
     monkeypatch.setattr(token_files, "CHARS", 30)
     assert [list(x) for x in made.encode(texts)] == want and len(made.known) + len(made.old) < 60
+
+
+def _line_tokens(tokenizer, text):
+    """(start, end, tokens that begin there) of every line, from offsets of the whole text, one token after the other."""
+    ends = [m.end() for m in re.finditer("\n", text) if m.end() < len(text)]
+    spans = list(zip([0, *ends], [*ends, len(text)], strict=True))
+    starts = [s for s, _ in tokenizer.encode(text, add_special_tokens=False).offsets]
+    return [(a, b, sum(a <= s < b for s in starts)) for a, b in spans]
+
+
+def test_sections_of_every_text_against_whole_text_offsets(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    from claimlake.llm import token_counts
+
+    tokenizer = Tokenizer.from_file(token_counts.vocabulary())
+    tokenizer.encode_special_tokens = True
+    rng = random.Random(12)
+    pieces = ["don't", "we'll", "'s", "̈a", "é", "Word.", "word,", "12,", "..", "<|endoftext|>", "你好.", "\U0001f600", "x" * 100, "\x00", "²."]
+    blanks = [" ", "  ", "   ", "\n", "\n\n", "\n \n", "\t", "\r\n", " \n", "", "", " ", "\x1c", " ", "\x85 \n"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(blanks[:rng.choice([11, 15])]) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+    texts += ["", "\n", "\n\n", " ", " a\n", "a\n\nb", "word " * 3000 + "\nend"]
+    want = [[(i, n, *x) for n, x in enumerate(_line_tokens(tokenizer, t))] for i, t in enumerate(texts)]
+    assert token_counts.starts(token_counts.vocabulary()).cuts and token_counts.starts(token_counts.vocabulary()).ends == [",", "."]
+    docs = spark.createDataFrame([*enumerate(texts), (None, None)], "doc_id long, text string")
+    got = [tuple(r) for r in token_counts.section_tokens(docs).collect()]
+    assert sorted(r for r in got if r[0] is not None) == sorted(sum(want, []))
+    assert [r for r in got if r[0] is None] == [(None, 0, 0, 0, 0)]
+    made = token_counts.Starts(token_counts.vocabulary())
+    for name, size in (("CHARS", 7), ("KNOWN", 5), ("KNOWN_CHARS", 3)):
+        monkeypatch.setattr(token_counts, name, size)
+    for text, rows in zip(texts, want, strict=True):
+        cuts = token_counts.line_sections(text)
+        n = sum((token_counts.join_spans(s, cuts) for s in made.of(text)), np.zeros(len(cuts) - 1, np.int64))
+        assert [x[-1] for x in rows] == n.tolist()
+    made.cuts = False
+    assert all(np.array_equal(np.concatenate([*made.of(t), []]), made._whole(t)) for t in texts)
