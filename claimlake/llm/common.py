@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def packed(docs: DataFrame, name: str = "given"):
+    """A row of ``docs`` as one struct column, whatever its columns are called."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias(name)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back: later stages and lost executors
     start from the files."""

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import packed, staged
 from .text import LOWER, Texts, mix, shingles, span_hashes, text_blocks, words
 
 K1, B = 1.2, 0.75
@@ -237,12 +237,12 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 5, per_cent: in
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(1, -(-total // (SLICE_BYTES // 2)))
-    docs = docs.select(*[c for c in docs.columns if c not in ("n_items", "item_ids", "found_n", "found_items")])
+    docs = docs.drop("n_items", "item_ids", "found_n", "found_items")
     none = docs.select("*", F.lit(0).cast("long").alias("n_items"), F.array().cast("array<bigint>").alias("item_ids"))
     if slices == 1:
         index = _index(items, 1, 0, width, per_cent)
         return none if index is None else _found(docs, index).withColumnsRenamed({"found_n": "n_items", "found_items": "item_ids"})
-    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("given")), "numbered")
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), packed(docs)), "numbered")
     texts = rows.select("row", "given.text")
     found = [m for i in range(slices) if (m := _matches(texts, items, slices, i, width, per_cent)) is not None]
     if not found:

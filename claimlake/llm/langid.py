@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import packed
+
 DIMENSIONS = 1024
 GRAM = 3
 SCALE = 1000
@@ -110,7 +112,7 @@ def prototypes(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 def identify(docs: DataFrame, given: bool = False) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row of ``docs`` (doc_id, text, lang); ``given``: and the row itself, as a
     struct of that name."""
-    more = [F.struct(*docs.columns).alias("given")] if given else []
+    more = [packed(docs)] if given else []
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang",
                        F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)).alias("held_out"),
                        *more)

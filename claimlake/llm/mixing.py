@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import packed, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -109,9 +109,10 @@ def mix_sources(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float =
 def take_mix(docs: DataFrame, **how) -> DataFrame:
     """``docs`` as the mix has it: every row as often as it is taken, columns unchanged."""
     out = mix_sources(docs, **how).filter("copies > 0")
-    same = Window.partitionBy("doc_id", "mark", "source").orderBy(F.lit(0))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", "source",
-                       F.xxhash64("text").alias("mark")).withColumn("nth", F.row_number().over(same))
+    rows = docs.select(packed(docs, "whole"), "doc_id", "source",
+                       F.xxhash64("text").alias("mark"),
+                       F.monotonically_increasing_id().alias("place"))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "mark", "source").orderBy("place")))
     on = (F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.mark") == F.col("m.mark"))
           & F.col("d.source").eqNullSafe(F.col("m.of")) & (F.col("d.nth") == F.col("m.nth")))
     return (rows.alias("d").join(out.alias("m"), on)
