@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..operators import silver
 from ..sources import files, incremental, synth
-from ..streaming import ingest
+from ..streaming import ingest, landing
 from .lake import Lake
 from .oracle_sql import RUN_TS, cte
 from .registry import q, register
@@ -150,19 +150,82 @@ register(
 
 
 def _stream_ingest(lk: Lake):
-    """Two landed drops, two triggered runs on one checkpoint: every row exactly once."""
+    """Two landed drops, the second with its columns in reverse, two triggered runs on one checkpoint: every row once."""
     base = scratch_path(lk.spark, "stream-claims")
     src, ckpt, out = f"{base}/landing", f"{base}/_checkpoint", f"{base}/bronze"
     b = lk.bronze("claims")
-    early = F.col("claim_date") < "2025-01-01"
+    early = F.coalesce(F.col("claim_date") < "2025-01-01", F.lit(False))
     b.filter(early).write.mode("append").option("header", True).csv(src)
-    ingest.run_ingest(lk.spark, src, "claims", ckpt, out)
-    b.filter(~early).write.mode("append").option("header", True).csv(src)
-    ingest.run_ingest(lk.spark, src, "claims", ckpt, out)
-    ingest.run_ingest(lk.spark, src, "claims", ckpt, out)  # nothing new: no duplicates
-    return lk.spark.read.parquet(out)
+    landing.run_landing(lk.spark, src, "claims", ckpt, out)
+    b.filter(~early).select(*_CLAIMS_COLS[::-1]).write.mode("append").option("header", True).csv(src)
+    landing.run_landing(lk.spark, src, "claims", ckpt, out)
+    landing.run_landing(lk.spark, src, "claims", ckpt, out)  # nothing new: no duplicates
+    return landing.landed(lk.spark, out)
 
 
+# Every third row of an entity lands in a second layout: columns in reverse, the optional ones and an unknown one added.
+_KEYS = {e: files.BRONZE_COLUMNS[e][0] for e in files.BRONZE_COLUMNS}
+
+
+def _late_sql(entity: str) -> str:
+    return f"coalesce(ascii(right({_KEYS[entity]}, 1)) % 3 = 0, FALSE)"
+
+
+def _land_two_layouts(lk: Lake, entity: str) -> str:
+    base = scratch_path(lk.spark, f"layouts-{entity}")
+    b, columns = lk.bronze(entity), files.landing_columns(entity)
+    b.filter(f"NOT {_late_sql(entity)}").write.mode("append").option("header", True).csv(f"{base}/landing")
+    landing.run_landing(lk.spark, f"{base}/landing", entity, f"{base}/_checkpoint", f"{base}/bronze")
+    second = b.filter(_late_sql(entity)).selectExpr(
+        "*", *[f"concat('{c} of ', created_date) AS {c}" for c in files.MORE_LANDING_COLUMNS.get(entity, ())],
+        f"concat('note ', {_KEYS[entity]}) AS surplus")
+    second.select("surplus", *columns[::-1]).write.mode("append").option("header", True).csv(f"{base}/landing")
+    landing.run_landing(lk.spark, f"{base}/landing", entity, f"{base}/_checkpoint", f"{base}/bronze")
+    return f"{base}/bronze"
+
+
+def _whole_row(entity: str, more) -> str:
+    cells = [f"coalesce({c}, '-')" for c in files.BRONZE_COLUMNS[entity]] + [more(c) for c in files.MORE_LANDING_COLUMNS.get(entity, ())]
+    return " || '|' || ".join(cells)
+
+
+def _land_by_name(lk: Lake):
+    out = None
+    for entity in files.BRONZE_COLUMNS:
+        part = landing.landed(lk.spark, _land_two_layouts(lk, entity)).selectExpr(
+            f"'{entity}' AS entity", f"{_whole_row(entity, lambda c: f'coalesce({c}, chr(45))')} AS landed_row",
+            f"get_json_object({files.RESCUED}, '$.surplus') AS surplus", f"{landing.BATCH} AS batch")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register(
+    "land_by_name",
+    _land_by_name,
+    q("\nUNION ALL\n".join(
+        f"""SELECT '{e}' AS entity, {_whole_row(e, lambda c, e=e: f"CASE WHEN {_late_sql(e)} THEN '{c} of ' || created_date ELSE '-' END")} AS landed_row,
+  CASE WHEN {_late_sql(e)} THEN 'note ' || {_KEYS[e]} END AS surplus, CAST({_late_sql(e)} AS INTEGER) AS batch FROM fx_{e}"""
+        for e in files.BRONZE_COLUMNS), *[f"fx_{e}" for e in files.BRONZE_COLUMNS]),
+)
+
+
+def _landing_expectations(lk: Lake):
+    """What the stream itself counted, per batch: rows that pass and fail the warn-only rule."""
+    out = None
+    for entity in files.BRONZE_COLUMNS:
+        part = landing.landing_log(lk.spark, _land_two_layouts(lk, entity), "expectations")
+        out = part if out is None else out.unionByName(part)
+    return out.withColumnRenamed(landing.BATCH, "batch")
+
+
+register(
+    "landing_expectations",
+    _landing_expectations,
+    q("\nUNION ALL\n".join(
+        f"""SELECT '{e}' AS entity, 'no_rescued_data' AS expectation, count(*) FILTER (NOT failed) AS passed, count(*) FILTER (failed) AS failed, batch
+FROM (SELECT CAST({_late_sql(e)} AS INTEGER) AS batch, {_late_sql(e)} AS failed FROM fx_{e}) GROUP BY batch"""
+        for e in files.BRONZE_COLUMNS), *[f"fx_{e}" for e in files.BRONZE_COLUMNS]),
+)
 register(
     "ingest_stream",
     lambda lk: _stream_ingest(lk).select(*_CLAIMS_COLS),

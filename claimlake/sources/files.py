@@ -40,6 +40,18 @@ BRONZE_COLUMNS: dict[str, tuple[str, ...]] = {
                           "recommended_action", "created_date"),
 }
 
+# Columns that landed files also bring and silver does not use; null where a file lacks them.
+MORE_LANDING_COLUMNS: dict[str, tuple[str, ...]] = {
+    "policyholders": ("phone", "street_address", "licence_number"),
+    "vehicles": ("vin",),
+    "claims": ("description",),
+}
+
+
+def landing_columns(entity: str) -> tuple[str, ...]:
+    """All columns that a landed file of ``entity`` is known to bring."""
+    return BRONZE_COLUMNS[entity] + MORE_LANDING_COLUMNS.get(entity, ())
+
 
 def bronze_schema(entity: str, rescued: bool = False) -> T.StructType:
     """Fixed all-string landing schema (no inference); optional rescue column."""

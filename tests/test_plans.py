@@ -13,7 +13,7 @@ from .conftest import SF_SMALL
 
 # Keys whose operators run actions while building the plan (writes, training);
 # their plans are covered by the oracle/rows checks instead.
-SIDE_EFFECTING = {"land_csv", "ingest_stream", "ingest_audit_cols", "rescue_malformed", "materialize",
+SIDE_EFFECTING = {"land_csv", "land_by_name", "landing_expectations", "ingest_stream", "ingest_audit_cols", "rescue_malformed", "materialize",
                   "overwrite_with_schema", "replace_full", "overlap_refresh_partitioned", "lakehouse_job",
                   "model_registry", "train_severity", "score_claims", "feature_importance", "stratified_split",
                   "class_weights"}
