@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from ..functions.bands import LABELS, severity_label
-from ..operators import features, model, monitor
-from ..session import scratch_path
+from ..operators import features, lifecycle, model, monitor
+from ..session import checkpoint_dir, scratch_path
 from .lake import Lake
 from .oracle_sql import RUN_TS, cte
 from .registry import q, register
@@ -42,16 +44,33 @@ def _predictions(lk: Lake):
                     "model_version", "scored_at")
 
 
-_MODELS: dict = {}
+MODEL_NAME = "claim_severity_classifier"
 
 
-def _trained(lk: Lake):
-    """Train once per (session, folder) on the weighted training split."""
-    key = (id(lk.spark), lk.sf_dir)
-    if key not in _MODELS:
+def _model_registry(lk: Lake, name: str = MODEL_NAME) -> lifecycle.Registry:
+    """One registry per application and table folder, in the shared folder: the first query that needs a model trains and
+    registers it, later ones load it from its files."""
+    place = f"{checkpoint_dir(lk.spark)}/registry-{lk.spark.sparkContext.applicationId}-{hashlib.md5(lk.sf_dir.encode()).hexdigest()[:8]}"
+    registry = lifecycle.Registry(lk.spark, place, name)
+    try:
+        registry.artifact(lifecycle.CHAMPION)
+    except LookupError:
         train = model.with_class_weights(_split(lk).filter(~F.col("is_test")), LABEL)
-        _MODELS[key] = model.train_severity(train, FEATURES, LABEL)
-    return _MODELS[key]
+        fit = lifecycle.train_boosted if name == BOOSTED else model.train_severity
+        how = {"key": "claim_id"} if name == BOOSTED else {}
+        registry.point(lifecycle.CHAMPION, registry.register(fit(train, FEATURES, LABEL, **how), lk.run_ts), lk.run_ts)
+    return registry
+
+
+BOOSTED = "claim_severity_boosted"
+
+
+def _trained(lk: Lake):
+    return _model_registry(lk).load()[1]
+
+
+def _held_out(lk: Lake):
+    return _split(lk).filter(F.col("is_test"))
 
 
 # ── oracle CTEs ───────────────────────────────────────────────────────────────
@@ -158,16 +177,70 @@ SELECT {LABEL}, n_c, (SELECT COUNT(*) FROM tr) / ((SELECT COUNT(*) FROM c) * n_c
 )
 register(
     "train_severity",
-    lambda lk: model.score_claims(_split(lk).filter(F.col("is_test")), _trained(lk),
-                                  keep=["claim_id", LABEL]).select("claim_id", LABEL, F.size("probs").alias("classes")),
+    lambda lk: model.decode_prediction(model.score_claims(_held_out(lk), _trained(lk), keep=["claim_id", LABEL]), "1", lk.run_ts),
+    None,
+)
+register(
+    "train_boosted",
+    lambda lk: lifecycle.score_registered(_held_out(lk), _model_registry(lk, BOOSTED), lk.run_ts, keep=["claim_id", LABEL]),
     None,
 )
 register(
     "score_claims",
-    lambda lk: model.decode_prediction(model.score_claims(_prepared(lk), _trained(lk), keep=["claim_id", LABEL]),
-                                       "1", lk.run_ts),
+    lambda lk: lifecycle.score_registered(_prepared(lk), _model_registry(lk), lk.run_ts, keep=["claim_id", LABEL]),
     None,
 )
+
+
+def _scored_checks(lk: Lake):
+    """What must hold of every scored claim, of both models, whatever they learned."""
+    out = None
+    for name in (MODEL_NAME, BOOSTED):
+        registry = _model_registry(lk, name)
+        p = lifecycle.score_registered(_prepared(lk), registry, lk.run_ts, keep=["claim_id", LABEL])
+        probs = [F.col(f"prob_{n}") for n in LABELS]
+        part = p.select(F.lit(name).alias("model_name"), "claim_id", LABEL, (F.abs(sum(probs) - 1) < 1e-9).alias("sums_to_one"),
+                        F.greatest(*probs).eqNullSafe(F.element_at(F.array(*probs), F.col("predicted_severity") + 1)).alias("is_largest"),
+                        "model_version")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register(
+    "score_registered",
+    _scored_checks,
+    q("\nUNION ALL\n".join(
+        f"SELECT '{name}' AS model_name, claim_id, {LABEL}, TRUE AS sums_to_one, TRUE AS is_largest, '1' AS model_version FROM prepared"
+        for name in (MODEL_NAME, BOOSTED)), "prepared"),
+)
+
+
+def _promotion(lk: Lake):
+    """Both models through the gates of a run on held-out claims: with no demands they pass, with impossible ones the run
+    ends and the alias stays."""
+    out = None
+    for name in (MODEL_NAME, BOOSTED):
+        registry = _model_registry(lk, name)
+        version, _ = registry.artifact(lifecycle.CHAMPION)
+        gates = lifecycle.promote(registry, version, _held_out(lk), LABEL, lk.run_ts, dict.fromkeys(model.GATES, 0.0))
+        try:
+            lifecycle.promote(registry, version, _held_out(lk), LABEL, lk.run_ts, dict.fromkeys(model.GATES, 1.1))
+            stopped = False
+        except RuntimeError:
+            stopped = registry.artifact(lifecycle.CHAMPION)[0] == version
+        part = gates.select(F.lit(name).alias("model_name"), "gate", "passed",
+                            F.coalesce(F.col("score").between(0, 1), F.lit(True)).alias("is_share"), F.lit(stopped).alias("stopped"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register(
+    "promote_model",
+    _promotion,
+    "SELECT model_name, gate, TRUE AS passed, TRUE AS is_share, TRUE AS stopped FROM "
+    + f"(VALUES ('{MODEL_NAME}'), ('{BOOSTED}')) m(model_name), (VALUES "
+    + ", ".join(f"('{g}')" for g in (*model.GATES, "overall")) + ") g(gate)",
+)
 register(
     "feature_importance",
     lambda lk: model.feature_importance(lk.spark, _trained(lk), FEATURES),
