@@ -2,9 +2,12 @@
 
 A source's documents are all due target / size copies.  The whole part is given; the fractional parts are rounded
 in pairs: words move at random from one document to the other until one of them is whole (taken or not), in such
-odds that every document keeps its expectation and the sum of words stays.  A tree does this: buckets of about
+odds that every document keeps its expectation and the sum of words stays.  A source's large documents come first, from
+the largest on, each against all that are not rounded yet: it is taken or not, and the words go to or come from the
+others' common fraction, so that what is left over at the end is small.  A tree does the rest: buckets of about
 ``FAN`` documents fold to one unrounded document each, those are bucketed again, until one per source is left, which
-a last draw rounds.  So a source misses its target by less than one document.  Draws are hashes: reruns agree.
+a last draw rounds.  So a source misses its target by less than one document that is not large (``LARGE`` of the target), or
+by one of those that the others cannot make up for.  Draws are hashes: reruns agree.
 
 Defined cases: null or empty text: size 0, taken 0; null source: a source of its own, last in order; null doc_id: as
 any other id; repeated rows: a copy each; empty table: no rows; other columns are not read.
@@ -21,6 +24,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
 #: Documents folded by one array expression.
 FAN = 48
+#: Share of its source's target from which on a document is large, and how many of a source go first; the tree takes others.
+LARGE, FIRST = 0.002, 1000
+
+# Large documents, one after the other: m words are due of the s words that are not rounded yet.
+_LARGE = """
+aggregate(items, named_struct('m', mass, 's', whole, 'done', cast(array() as array<struct<k: bigint, up: boolean>>)),
+  (s, x) -> if(x.size > least(s.m, s.s - s.m), s,
+    named_struct('m', s.m - if(x.draw * s.s < s.m, x.size, 0D), 's', s.s - x.size,
+                 'done', concat(s.done, array(named_struct('k', x.k, 'up', x.draw * s.s < s.m))))))
+"""
 
 # One step of the fold: a is the unrounded document so far, x the next; d1 words may go to a, d2 to x.
 _STEP = """
@@ -79,11 +92,20 @@ def mix_sources(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float =
     total = staged(total.withColumn("due", F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))),
                    "mix")
     most_rows = narrow.groupBy("source").count().agg(F.max("count")).first()[0] or 0
-    level = (narrow.filter("size > 0").join(F.broadcast(total) if total.count() < 10_000 else total,
-                                            narrow.source.eqNullSafe(total.source))
-             .select(narrow.source, "k", F.col("size").cast("double").alias("size"),
-                     (F.col("size") * (F.col("due") - F.floor("due"))).alias("mass")).filter("mass > 0"))
-    done, buckets, depth = [], most_rows, 0
+    few = total.count() < 10_000
+    sized = (narrow.filter("size > 0").join(F.broadcast(total) if few else total, narrow.source.eqNullSafe(total.source))
+             .select(narrow.source, "k", F.col("size").cast("double").alias("size"), "target", "source_size",
+                     (F.col("due") - F.floor("due")).alias("part")).filter("part > 0"))
+    largest = Window.partitionBy("source").orderBy(F.col("size").desc(), "k")
+    large = (sized.filter(F.col("size") > LARGE * F.col("target")).withColumn("nth", F.row_number().over(largest)).filter(F.col("nth") <= FIRST)
+             .groupBy("source", (F.col("source_size") * F.col("part")).alias("mass"), F.col("source_size").cast("double").alias("whole"))
+             .agg(F.sort_array(F.collect_list(F.struct("nth", "k", "size", _draw(seed, -1).alias("draw")))).alias("items")))
+    large = staged(large.select("source", F.expr(_LARGE).alias("s")).select("source", "s.done", (F.col("s.m") / F.col("s.s")).alias("rest")), "mix")
+    first = large.select(F.explode("done").alias("d")).select("d.k", "d.up")
+    rest = large.select(F.col("source").alias("of"), "rest")
+    level = (sized.join(F.broadcast(rest) if few else rest, F.col("source").eqNullSafe(F.col("of")), "left").join(first.select("k"), "k", "left_anti")
+             .select("source", "k", "size", (F.col("size") * F.coalesce("rest", "part")).alias("mass")).filter("mass > 0"))
+    done, buckets, depth = [first], most_rows, 0
     while buckets > 1 or not depth:
         buckets = -(-buckets // FAN) if buckets > FAN else 1
         item = F.struct("k", "size", "mass", _draw(seed, depth).alias("draw"))

@@ -247,3 +247,25 @@ def test_sections_of_every_text_against_whole_text_offsets(spark, monkeypatch):
         assert [x[-1] for x in rows] == n.tolist()
     made.cuts = False
     assert all(np.array_equal(np.concatenate([*made.of(t), []]), made._whole(t)) for t in texts)
+
+
+def test_mix_meets_targets_and_keeps_expectations(spark):
+    from pyspark.sql import functions as F
+
+    from claimlake.llm import mixing
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = mixing.mix_sources(docs).groupBy("of").agg(F.max("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert all(abs(r.taken - r.target) <= 0.01 * r.target for r in got)
+    rng = random.Random(8)
+    small = spark.createDataFrame([(i, "w " * rng.choice([1, 2, 3, 5, 40, 200]), "ab"[i % 2]) for i in range(60)],
+                                  "doc_id long, text string, source string")
+    runs = [mixing.mix_sources(small, seed=s).select("doc_id", "copies", (F.col("target") / F.col("source_size")).alias("due")) for s in range(40)]
+    seen, due = collections.Counter(), {}
+    for run in runs:
+        for r in run.collect():
+            seen[r.doc_id] += r.copies
+            due[r.doc_id] = r.due
+    mean = {d: seen[d] / len(runs) for d in due}
+    assert all(abs(mean[d] - due[d]) < 0.45 for d in due)  # 5 standard errors of a fair draw are 0.4
+    assert abs(sum(mean.values()) - sum(due.values())) < 0.05 * sum(due.values())
