@@ -87,6 +87,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 #: DuckDB SQL of the queries that SQL can express.  The others hash, draw, encode or learn; tests/llm holds them against
 #: brute force.
 ORACLES = {
+    "op1_warc": """
+WITH p AS (SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to, url AS target_uri
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 1000""",
     "op4_exact_top_k": """
 WITH v AS (
   SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings

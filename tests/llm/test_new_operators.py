@@ -267,3 +267,26 @@ def test_mix_meets_targets_and_keeps_expectations(spark):
         seen[key].append(r.copies)
         due[key] = r.target / r.source_size
     assert all(len(c) == 80 and abs(sum(c) / 80 - due[k]) < 0.29 for k, c in seen.items())  # 5 standard errors at most
+
+
+def test_rendezvous_shards_against_plain_scores(spark):
+    from claimlake.llm import sharding
+
+    ids = [None, -1, 0, 7, 2**62, *range(100, 400)]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids] + [(5, None), (5, None), (6, "é")], "doc_id long, text string")
+    weights, grown = [1.0, 2.0, 0.0, 0.5], [1.0, 2.0, 0.0, 0.5, 1.5]
+
+    def pick(key, shares):
+        def score(k, w):
+            return -math.log((int(hashlib.md5(f"{'null' if key is None else key}:{k}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13) / w
+        return min((score(k, w), k) for k, w in enumerate(shares) if w)[1]
+
+    got = sharding.shard(docs, weights, grown).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert (r.shard, r.grown_shard) == (pick(r.doc_id, weights), pick(r.doc_id, grown))
+        assert r.grown_shard in (r.shard, 4)
+        text = {5: "", 6: "é"}.get(r.doc_id, f"text {r.doc_id}").encode()
+        assert (r.size, r.text_crc32) == (len(text) + 8, zlib.crc32(text))
+    for k in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
