@@ -124,7 +124,7 @@ class PerfectIndex:
 #: ASCII white space: the tokenizer drops it and joins nothing across it, so what lies between has ids of its own.
 BLANKS = "\t\n\v\f\r"
 #: Characters of the strings a worker remembers the ids of at most, and the number of strings of one generation.
-KNOWN_CHARS, KNOWN = 64, 700_000
+KNOWN_CHARS, KNOWN = 64, 300_000
 #: Bytes before the ids in a file of ids.
 HEADER = 8
 
