@@ -12,6 +12,7 @@ All metrics are computed from a confusion matrix — a tiny aggregate
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -22,13 +23,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.bands import LABELS, severity_label
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 
 DEFAULT_PARAMS = {"numTrees": 60, "maxDepth": 6, "maxBins": 32, "seed": 42, "subsamplingRate": 0.8,
                   "featureSubsetStrategy": "sqrt"}
 # Fixed gate thresholds of the reference's validation job.
 GATES = {"accuracy": 0.75, "f1_weighted": 0.73, "f1_macro": 0.65, "f1_total_loss": 0.55}
-SPLIT_BUCKET_HEX = 4          # 16^4 = 65 536 hash buckets per class for the exact split
+HASH_DIGITS, SPLIT_DIGITS = 32, 3   # hex digits of a split hash, and of them looked at in one pass (4096 counts a class)
+MOST_CLASSES = 1000
 
 
 def class_distribution(f: DataFrame, label: str) -> DataFrame:
@@ -48,44 +50,95 @@ def _split_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
 
 
+@dataclass(frozen=True)
+class ClassCut:
+    """Of the ``n`` rows of class ``label``, the ``n_test`` whose hash is at most ``cut`` are test rows."""
+
+    label: object
+    n: int
+    n_test: int
+    cut: str
+
+
+def class_cuts(f: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42) -> list[ClassCut]:
+    """The round(test·n_c)-th smallest ``md5(key|seed)`` of every class c, exactly, by radix refinement.
+
+    A pass counts the rows of each class by the next ``SPLIT_DIGITS`` hex digits (map-side partial sums, at most 4096
+    counts a class), finds the digits that hold the wanted rank, and the next pass looks only at hashes that begin with
+    them, until a cut between two buckets is exact: about log(n_c) / log(4096) passes.  They read a written table of
+    (label, hash) and nothing else; the driver holds one row per class (``MOST_CLASSES`` at most, more raise ValueError).
+
+    Rows of one key have one hash and stay on one side, so a class with repeated keys may get a few test rows more than
+    round(test·n_c).  Rows without a label belong to no class; an empty table has no cuts.
+    """
+    spark = f.sparkSession
+    path = scratch_path(spark, "split-hashes")
+    (f.filter(F.col(label).isNotNull()).select(F.col(label).alias("label"), _split_hash(F.col(key), seed).alias("h"))
+     .write.parquet(path))
+    hashes = spark.read.parquet(path)
+    share = F.floor((F.col("n") * int(round(test * 100)) + 50) / 100)
+    done: list[ClassCut] = []
+    sizes: dict = {}
+    open_: dict = {}        # class → (prefix, rank wanted among the hashes that begin with it)
+    for depth in range(0, HASH_DIGITS, SPLIT_DIGITS):
+        rows, want = hashes, share
+        if depth:
+            rows = hashes.filter(F.substring("h", 1, depth) == _by_class({c: p for c, (p, _) in open_.items()}, F.col("label")))
+            want = _by_class({c: k for c, (_, k) in open_.items()}, F.col("label"))
+        counts = rows.groupBy("label", F.substring("h", depth + 1, SPLIT_DIGITS).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+        found = (counts.groupBy("label").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("d", "n"))).alias("buckets"))
+                 .withColumn("want", want.cast("long")).withColumn("at", F.expr(
+                     """aggregate(buckets, named_struct('before', 0L, 'd', cast(null as string), 'n', 0L),
+                          (s, x) -> CASE WHEN s.d IS NOT NULL THEN s
+                                         WHEN s.before + x.n >= want THEN named_struct('before', s.before, 'd', x.d, 'n', x.n)
+                                         ELSE named_struct('before', s.before + x.n, 'd', cast(null as string), 'n', 0L) END)"""))
+                 .select("label", "n", "want", "at").limit(MOST_CLASSES + 1).collect())
+        if len(found) > MOST_CLASSES:
+            raise ValueError(f"more than {MOST_CLASSES} classes in {label}")
+        before, open_ = open_, {}
+        for r in found:
+            n, k = sizes.setdefault(r.label, (r.n, r.want))
+            if k == 0:
+                done.append(ClassCut(r.label, n, 0, ""))
+                continue
+            prefix = (before[r.label][0] if depth else "") + r["at"].d
+            left = r.want - r["at"].before
+            if left == r["at"].n or len(prefix) >= HASH_DIGITS:
+                done.append(ClassCut(r.label, n, k - left + r["at"].n, prefix.ljust(HASH_DIGITS, "f")))
+            else:
+                open_[r.label] = (prefix, left)
+        if not open_:
+            break
+    return sorted(done, key=lambda c: str(c.label))
+
+
+def _by_class(values: dict, label: Column) -> Column:
+    """The value of a row's class; null for a class without one."""
+    out = F.lit(None)
+    for c, v in values.items():
+        out = F.when(label == F.lit(c), F.lit(v)).otherwise(out)
+    return out
+
+
 def stratified_split(f: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42,
-                     materialize: bool = True) -> DataFrame:
-    """Exact per-class split: of the n_c rows of class c, the round(test·n_c) rows with the
-    smallest ``md5(key|seed)`` go to test.  Re-runnable and independent of partitioning.
-
-    Scale: no window over a whole class and no full shuffle.  Rows are counted
-    per (class, hash bucket) — at most classes × 65 536 rows, partially
-    aggregated on the mappers — and a running count over that small histogram
-    finds each class's boundary bucket.  Rows below it are test, above it train
-    (a broadcast join and a filter); only the rows of the boundary bucket
-    (≈ n_c / 65 536) are ranked exactly.  The input is read twice, so it is
-    checkpointed first (reliable checkpoint in the shared folder).
+                     cuts: Sequence[ClassCut] | None = None) -> DataFrame:
+    """Exact per-class split: of the n_c rows of class c, the round(test·n_c) rows with the smallest ``md5(key|seed)`` go
+    to test (repeated keys: see :func:`class_cuts`).  Re-runnable and independent of partitioning; rows without a label
+    are train rows.
+
+    With the cuts known the split is one comparison a row: no window, no shuffle, no copy of the wide rows.
     """
-    pct = int(round(test * 100))
-    if materialize:
-        checkpoint_dir(f.sparkSession)
-        f = f.checkpoint(eager=True)
-    h = f.withColumn("_h", _split_hash(F.col(key), seed)).withColumn(
-        "_b", F.substring("_h", 1, SPLIT_BUCKET_HEX))
-    hist = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (hist.withColumn("_cum", F.sum("_n").over(w))
-            .withColumn("_total", F.sum("_n").over(Window.partitionBy(label)))
-            .withColumn("_k", F.floor((F.col("_total") * pct + 50) / 100)))
-    # one row per class: the first bucket whose running count reaches k, and how many of it are test
-    bound = (hist.filter(F.col("_cum") >= F.col("_k"))
-             .groupBy(label).agg(F.min_by(F.struct("_b", (F.col("_k") - F.col("_cum") + F.col("_n")).alias("_r")),
-                                          F.col("_b")).alias("_m"))
-             .select(label, F.col("_m._b").alias("_bb"), F.col("_m._r").alias("_r")))
-    j = h.join(F.broadcast(bound), label, "left")
-    on_edge = F.col("_b") == F.col("_bb")
-    rank = Window.partitionBy(label).orderBy("_h", key)
-    edge = j.filter(on_edge).withColumn("_is_test", F.row_number().over(rank) <= F.col("_r"))
-    rest = j.filter(~F.coalesce(on_edge, F.lit(False))).withColumn(
-        "_is_test", F.coalesce(F.col("_b") < F.col("_bb"), F.lit(False)))
-    cols = list(f.columns)
-    return (rest.select(*cols, F.col("_is_test").alias("is_test"))
-            .unionByName(edge.select(*cols, F.col("_is_test").alias("is_test"))))
+    cuts = class_cuts(f, label, key, test, seed) if cuts is None else cuts
+    cut = _by_class({c.label: c.cut for c in cuts}, F.col(label))
+    return f.withColumn("is_test", F.coalesce(_split_hash(F.col(key), seed) <= cut, F.lit(False)))
+
+
+def split_weights(spark: SparkSession, cuts: Sequence[ClassCut], label: str, label_type: str = "int") -> DataFrame:
+    """:func:`class_weights` of the train rows of a split, from its cuts alone: no row is read again."""
+    n_c = {c.label: c.n - c.n_test for c in cuts if c.n > c.n_test}
+    total = sum(n_c.values())
+    return spark.createDataFrame([(c, m, total / (len(n_c) * m)) for c, m in n_c.items()],
+                                 f"{label} {label_type}, n_c long, weight double")
 
 
 def class_weights(f: DataFrame, label: str) -> DataFrame:

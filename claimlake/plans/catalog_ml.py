@@ -6,7 +6,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from ..functions.bands import LABELS, severity_label
+from ..functions.bands import LABELS, severity_code, severity_label
 from ..operators import features, lifecycle, model, monitor
 from ..session import checkpoint_dir, scratch_path
 from .lake import Lake
@@ -30,8 +30,17 @@ def _prepared(lk: Lake):
     return model.prepare_training(_ml_features(lk), FEATURES, LABEL, keys=["claim_id"])
 
 
+def _labelled(lk: Lake):
+    """(claim_id, label): all that decides the split, so no feature is joined for it."""
+    return lk.silver("claims").select("claim_id", severity_code(F.col("severity_label")).cast("int").alias(LABEL)).dropna(subset=[LABEL])
+
+
+def _cuts(lk: Lake):
+    return model.class_cuts(_labelled(lk), LABEL, "claim_id", 0.2, 42)
+
+
 def _split(lk: Lake):
-    return model.stratified_split(_prepared(lk), LABEL, "claim_id", 0.2, 42)
+    return model.stratified_split(_prepared(lk), LABEL, "claim_id", 0.2, 42, cuts=_cuts(lk))
 
 
 def _predictions(lk: Lake):
@@ -160,7 +169,7 @@ register("prepare_training", _prepared, q("SELECT * FROM prepared", "prepared"),
          rounded=("f_avg_repair_cost_gbp", "f_total_labour_hours"))
 register(
     "stratified_split",
-    lambda lk: _split(lk).select("claim_id", LABEL, "is_test"),
+    lambda lk: model.stratified_split(_labelled(lk), LABEL, "claim_id", 0.2, 42, cuts=_cuts(lk)),
     q(f"""SELECT claim_id, {LABEL},
   row_number() OVER (PARTITION BY {LABEL} ORDER BY md5(claim_id || '|42'), claim_id)
     <= (COUNT(*) OVER (PARTITION BY {LABEL}) * 20 + 50) // 100 AS is_test
@@ -168,7 +177,7 @@ FROM prepared""", "prepared"),
 )
 register(
     "class_weights",
-    lambda lk: model.class_weights(_split(lk).filter(~F.col("is_test")), LABEL),
+    lambda lk: model.split_weights(lk.spark, _cuts(lk), LABEL),
     q(f"""WITH tr AS (SELECT * FROM (SELECT {LABEL}, row_number() OVER (PARTITION BY {LABEL} ORDER BY md5(claim_id || '|42'), claim_id)
     <= (COUNT(*) OVER (PARTITION BY {LABEL}) * 20 + 50) // 100 AS is_test FROM prepared) WHERE NOT is_test),
 c AS (SELECT {LABEL}, COUNT(*) AS n_c FROM tr GROUP BY 1)

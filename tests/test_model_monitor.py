@@ -1,5 +1,7 @@
 """Split exactness, metrics against hand computation, drift sanity."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from claimlake.operators import model, monitor
@@ -7,15 +9,43 @@ from claimlake.operators import model, monitor
 
 def test_stratified_split_is_exact_and_rerunnable(spark):
     df = spark.range(0, 2003).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("y"))
-    a = model.stratified_split(df, "y", "k", 0.2, 42, materialize=False)
+    a = model.stratified_split(df, "y", "k", 0.2, 42)
     counts = {r["y"]: (r["n"], r["t"]) for r in a.groupBy("y").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).collect()}
     for y, (n, t) in counts.items():
         assert t == (n * 20 + 50) // 100
-    b = model.stratified_split(df.repartition(7), "y", "k", 0.2, 42, materialize=False)
+    b = model.stratified_split(df.repartition(7), "y", "k", 0.2, 42)
     assert a.exceptAll(b).count() == 0
 
 
+def test_split_cuts_equal_a_plain_sort(spark):
+    """Hot class, tiny classes, repeated keys (one side), rows without a label or key, an empty table."""
+    rows = ([(f"k{i}", 0) for i in range(9000)] + [(f"m{i}", 1) for i in range(3)] + [("x", 2)] + [("d", 3)] * 5
+            + [(f"e{i}", 3) for i in range(20)] + [(None, 4), ("n", None)])
+    df = spark.createDataFrame(rows, "k string, y int")
+
+    def plain(key):
+        return hashlib.md5("|".join(([key] if key is not None else []) + ["42"]).encode()).hexdigest()
+
+    expect, sizes = {}, {}
+    for y in range(5):
+        hashes = sorted(plain(k) for k, c in rows if c == y)
+        k = (len(hashes) * 20 + 50) // 100
+        cut = hashes[k - 1] if k else ""
+        sizes[y] = (len(hashes), sum(h <= cut for h in hashes))
+        expect |= {(key, c): plain(key) <= cut for key, c in rows if c == y}
+    cuts = model.class_cuts(df, "y", "k")
+    assert {c.label: (c.n, c.n_test) for c in cuts} == sizes
+    split = model.stratified_split(df, "y", "k", cuts=cuts).collect()
+    assert len(split) == len(rows)
+    assert {(r.k, r.y): r.is_test for r in split} == expect | {("n", None): False}
+    weights = {r.y: (r.n_c, r.weight) for r in model.split_weights(spark, cuts, "y").collect()}
+    train = df.exceptAll(model.stratified_split(df, "y", "k", cuts=cuts).filter("is_test").drop("is_test"))
+    assert weights == {r.y: (r.n_c, r.weight) for r in model.class_weights(train, "y").collect()}
+    assert model.class_cuts(df.limit(0), "y", "k") == []
+    assert model.stratified_split(df.limit(0), "y", "k").count() == 0
+
+
 def test_metrics_match_hand_computation(spark):
     rows = [(0, 0)] * 3 + [(0, 1)] + [(1, 1)] * 2 + [(2, 1)] + [(3, 3)]
     p = spark.createDataFrame(rows, "a int, p int")
