@@ -2,20 +2,19 @@
 
 Scale notes
 -----------
-* ``usage`` is the big, date-partitioned log; prices and FX rates are reference
-  tables whose size is bounded by the calendar and the SKU catalogue.  They are
-  broadcast only behind :func:`bounded_broadcast`, which counts at most
-  ``limit + 1`` rows; past the bound the join falls back to a shuffle join.
+* ``usage`` is the big, date-partitioned log; FX rates have at most a row per calendar
+  day and are broadcast; prices grow with the SKU catalogue and are not.
 * The FX interval join (``date ∈ [rate_date, next_rate_date)``) would plan as a
   nested-loop join.  Expanding each interval to its days turns it into an
   equi-join on the day (one row per calendar day, bounded by the history
   length), so it plans as a hash join.
-* The price join is an equi-join on SKU with the validity window as residual
-  condition; the SKU hash keeps it a hash join.
+* The price join is an equi-join on (SKU, stretch of days) with the validity window
+  as residual condition, so a hot SKU spreads over the stretches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,20 +25,10 @@ from ..functions.bands import money_avg, money_sum
 DEFAULT_FX = 0.79           # rate used when no FX row covers the usage date
 LAST_RATE_DAYS = 365        # validity of the newest rate
 GRAINS = ("DAY", "WEEK", "MONTH")
+PRICE_BUCKET_DAYS = 28      # stretch of days by which the price join deals out a SKU
 FORECAST_HORIZON_DAYS = {"DAY": 30, "WEEK": 84, "MONTH": 91}
 
 
-def bounded_broadcast(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``limit`` rows, else return it unchanged.
-
-    The check reads at most ``limit + 1`` rows (the scan stops there), so it
-    costs a small job even when the table is large.
-    """
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
-
-
 # ── reference tables ──────────────────────────────────────────────────────────
 def fx_intervals(fx: DataFrame, last_days: int = LAST_RATE_DAYS) -> DataFrame:
     """Each rate is valid until the next rate date; the newest for ``last_days`` days.
@@ -62,27 +51,45 @@ def fx_daily(fx: DataFrame, last_days: int = LAST_RATE_DAYS) -> DataFrame:
         F.explode(F.sequence("rate_date", F.date_sub("next_rate_date", 1))).alias("fx_date"), "usd_to_gbp")
 
 
-def price_asof_join(usage: DataFrame, prices: DataFrame, max_price_rows: int = 1_000_000) -> DataFrame:
+def price_asof_join(usage: DataFrame, prices: DataFrame, bucket_days: int = PRICE_BUCKET_DAYS,
+                    span: tuple[date, date] | None = None) -> DataFrame:
     """Left join usage to the list price valid at ``usage_start_time`` (open end allowed).
 
-    No match ⇒ NULL price (cost 0); overlapping price rows duplicate usage rows,
-    as in the reference (no currency filter).
+    An equi-join on (SKU, stretch of ``bucket_days`` days): a price stands once in every stretch that its validity meets,
+    a usage row lies in one, so nothing is joined twice and a SKU that holds a third of all usage is dealt out by time.
+    Price rows are made only for the stretches of ``span`` (first and last day of usage; one pass over the usage times
+    finds it if it is not given; usage outside a given span finds no price).  No size is guessed and no row counted: the
+    optimizer broadcasts the prices if they are small, and splits a skewed stretch of the usage otherwise.
+
+    No match ⇒ NULL price (cost 0), so also for a usage row without SKU or time; overlapping price rows duplicate usage
+    rows, as in the reference (no currency filter).
     """
+    t = F.col("usage_start_time")
+
+    def bucket(at: Column) -> Column:
+        return F.floor(F.unix_date(at.cast("date")) / bucket_days)
+
+    if span:
+        first, last = (F.lit(d) for d in span)
+    else:
+        first, last = (usage.agg(f(t)).scalar() for f in (F.min, F.max))
+    low = F.greatest(bucket(F.col("price_start_time")), bucket(first))
+    high = F.least(bucket(F.col("price_end_time")), bucket(last))
     p = prices.select(
         F.col("sku_name").alias("_p_sku"), "price_start_time", "price_end_time",
-        F.col("pricing.effective_list.default").cast("double").alias("list_price"))
-    p = bounded_broadcast(p, max_price_rows)
-    t = F.col("usage_start_time")
-    cond = ((F.col("sku_name") == F.col("_p_sku")) & (t >= F.col("price_start_time"))
+        F.col("pricing.effective_list.default").cast("double").alias("list_price"),
+        F.explode(F.when(low <= high, F.sequence(low, high))).alias("_p_bucket"))
+    cond = ((F.col("sku_name") == F.col("_p_sku")) & (bucket(t) == F.col("_p_bucket")) & (t >= F.col("price_start_time"))
             & (F.col("price_end_time").isNull() | (t < F.col("price_end_time"))))
-    return usage.join(p, cond, "left").drop("_p_sku", "price_start_time", "price_end_time")
+    return usage.join(p, cond, "left").drop("_p_sku", "_p_bucket", "price_start_time", "price_end_time")
+
 
+def fx_asof_join(usage: DataFrame, fx: DataFrame, last_days: int = LAST_RATE_DAYS) -> DataFrame:
+    """Left join usage to the FX rate whose interval contains ``usage_date``.
 
-def fx_asof_join(usage: DataFrame, fx: DataFrame, last_days: int = LAST_RATE_DAYS,
-                 max_days: int = 200_000) -> DataFrame:
-    """Left join usage to the FX rate whose interval contains ``usage_date``."""
-    days = bounded_broadcast(fx_daily(fx, last_days), max_days)
-    return (usage.join(days, F.col("usage_date") == F.col("fx_date"), "left").drop("fx_date"))
+    The intervals do not overlap, so the broadcast side has at most one row of two fields for a day of the calendar
+    between the first rate and ``last_days`` after the last one, however much usage there is."""
+    return (usage.join(F.broadcast(fx_daily(fx, last_days)), F.col("usage_date") == F.col("fx_date"), "left").drop("fx_date"))
 
 
 def pipeline_name_join(usage: DataFrame, pipelines: DataFrame) -> DataFrame:
@@ -103,7 +110,8 @@ def priced_usage(usage: DataFrame, prices: DataFrame, fx: DataFrame, start: date
     u = usage.filter(F.col("record_type") == "ORIGINAL")
     if start is not None and end is not None:
         u = u.filter(F.col("usage_date").between(F.lit(start), F.lit(end)))
-    j = fx_asof_join(price_asof_join(u, prices), fx)
+    priced = price_asof_join(u, prices, span=None if start is None or end is None else (start, end))
+    j = fx_asof_join(priced, fx)
     cost = usage_cost_gbp(F.col("usage_quantity"), F.col("list_price"), F.col("usd_to_gbp"))
     return j.withColumn("dbu_cost_gbp", F.when(F.col("usage_unit") == "DBU", cost).otherwise(F.lit(0.0)))
 
@@ -174,37 +182,97 @@ def top_workloads(u: DataFrame, pipelines: DataFrame, n: int = 10) -> DataFrame:
                       F.round("_dbus", 4).alias("total_dbus"), "cost_gbp")
 
 
-def usage_forecast(series: DataFrame, ds: str = "ds", y: str = "y", horizon_days: int = 30,
-                   keys: tuple[str, ...] = ()) -> DataFrame:
-    """Linear trend + day-of-week mean residual per series, floored at 0.
+def _step(day: Column, grain: str) -> Column:
+    """Number of a period since the first one of 1970 (weeks begin on Mondays)."""
+    if grain == "MONTH":
+        return ((F.year(day) - 1970) * 12 + F.month(day) - 1).cast("long")
+    if grain == "WEEK":
+        return F.floor(F.datediff(day, F.lit(date(1970, 1, 5))) / 7)
+    return F.datediff(day, F.lit(date(1970, 1, 1))).cast("long")
+
+
+def _first_day(step: Column, grain: str) -> Column:
+    """First day of a period, from its number."""
+    if grain == "MONTH":
+        return F.add_months(F.lit(date(1970, 1, 1)), step.cast("int"))
+    if grain == "WEEK":
+        return F.date_add(F.lit(date(1970, 1, 5)), (step * 7).cast("int"))
+    return F.date_add(F.lit(date(1970, 1, 1)), step.cast("int"))
+
 
-    ``series`` has one row per (keys, ds) with value ``y``; the output has the
-    forecast for the ``horizon_days`` days after the last ``ds`` of each series (NULL
-    where one point or none leaves no trend).
+#: What repeats: the weekdays of daily series, the weeks or months of a year otherwise.
+SEASONS = {"DAY": F.dayofweek, "WEEK": F.weekofyear, "MONTH": F.month}
+
+
+def _fitted(s: DataFrame, by: Sequence[str], grain: str) -> tuple[DataFrame, DataFrame]:
+    """Of points (_k, _day, _x, _y): trend (_a, _b), last period and day of every series; mean residual (_r) by season (_s).
+    ``by`` is ["_k"], or empty for a single series, whose trend is then two scalar subqueries and no join."""
+    x = F.col("_x").cast("double")
+    fit = s.groupBy(*by).agg(F.regr_slope("_y", x).alias("_b"), F.regr_intercept("_y", x).alias("_a"),
+                             F.max("_x").alias("_last"), F.max("_day").alias("_until"))
+    if by:
+        on = s.join(fit.select("_k", "_a", "_b"), "_k")
+    else:
+        on = s.withColumns({"_a": fit.select("_a").scalar(), "_b": fit.select("_b").scalar()})
+    residual = on.groupBy(*by, SEASONS[grain]("_day").alias("_s")).agg(
+        F.avg(F.col("_y") - (F.col("_a") + F.col("_b") * x)).alias("_r"))
+    return fit, residual
+
+
+def _points(series: DataFrame, ds: str, y: str, keys: Sequence[str], grain: str) -> DataFrame:
+    if grain not in GRAINS:
+        raise ValueError(grain)
+    day = F.col(ds).cast("date")
+    # Keys as one struct: series whose key holds a null are series like others.
+    return series.select(*([F.struct(*keys).alias("_k")] if keys else []), day.alias("_day"), _step(day, grain).alias("_x"),
+                         F.col(y).cast("double").alias("_y"))
+
+
+def _predicted() -> Column:
+    trend = F.col("_a") + F.col("_b") * F.col("_x").cast("double")
+    return F.when(trend.isNotNull(), F.greatest(trend + F.coalesce(F.col("_r"), F.lit(0.0)), F.lit(0.0)))
+
+
+def usage_forecast(series: DataFrame, ds: str = "ds", y: str = "y", horizon_days: int | None = None,
+                   keys: Sequence[str] = (), grain: str = "DAY", today: date | None = None) -> DataFrame:
+    """Linear trend + mean residual of the season per series, floored at 0, in steps of ``grain``.
+
+    ``series`` has one row per (keys, ds) with value ``y``, ds being the first day of its period.  Forecast are the periods
+    after a series' last one whose first day comes no later than ``horizon_days`` (``FORECAST_HORIZON_DAYS`` of the grain)
+    after ``today``, or after that last period if no day is given: none if the series reaches beyond.  A season that was
+    never seen adds nothing to the trend; one point leaves no trend and NULL; an empty series has no rows.
     (The reference calls a closed platform function; this is our stated model.)
     """
-    s = series.withColumn("_x", F.datediff(F.col(ds), F.lit("1970-01-01")).cast("double"))
-    fit = s.groupBy(*keys).agg(F.regr_slope(F.col(y), F.col("_x")).alias("_b"),
-                               F.regr_intercept(F.col(y), F.col("_x")).alias("_a"),
-                               F.max(ds).alias("_last"))
-    if keys:
-        # one row per series: bounded by the number of series, so it is broadcast
-        fit = F.broadcast(fit)
-        with_fit = s.join(fit, list(keys), "inner")
+    grain, by = grain.upper(), ["_k"] if keys else []
+    fit, residual = _fitted(_points(series, ds, y, keys, grain), by, grain)
+    days = FORECAST_HORIZON_DAYS[grain] if horizon_days is None else horizon_days
+    end = _step(F.date_add(F.lit(today) if today else F.col("_until"), days), grain)
+    ahead = fit.select(*by, "_a", "_b", F.explode(F.when(end > F.col("_last"), F.sequence(F.col("_last") + 1, end))).alias("_x"))
+    ahead = ahead.withColumn("period", _first_day(F.col("_x"), grain)).withColumn("_s", SEASONS[grain]("period"))
+    return (ahead.join(residual, [*by, "_s"], "left")
+            .select(*(["_k.*"] if keys else []), "period", _predicted().alias("cost_gbp")))
+
+
+def forecast_backtest(series: DataFrame, steps: int, ds: str = "ds", y: str = "y", keys: Sequence[str] = (),
+                      grain: str = "DAY") -> DataFrame:
+    """How far the forecast of every series' last ``steps`` periods, made from the periods before, lies from what came:
+    periods compared, mean absolute error, and that error relative to the mean of what came (NULL if that is 0)."""
+    grain, by = grain.upper(), ["_k"] if keys else []
+    s = _points(series, ds, y, keys, grain)
+    last = s.groupBy(*by).agg((F.max("_x") - steps).alias("_cut"))
+    s = s.join(last, "_k") if by else s.withColumn("_cut", last.scalar())
+    fit, residual = _fitted(s.filter(F.col("_x") <= F.col("_cut")), by, grain)
+    held = s.filter(F.col("_x") > F.col("_cut")).withColumn("_s", SEASONS[grain]("_day"))
+    if by:
+        held = held.join(fit.select("_k", "_a", "_b"), "_k", "left")
     else:
-        # a single series: the fit is two scalar subqueries, no join at all
-        with_fit = s.withColumns({"_a": fit.select("_a").scalar(), "_b": fit.select("_b").scalar()})
-    resid = (with_fit.groupBy(*keys, F.dayofweek(ds).alias("_dow"))
-             .agg(F.avg(F.col(y) - (F.col("_a") + F.col("_b") * F.col("_x"))).alias("_r")))
-    horizon = fit.select(*keys, "_a", "_b", F.explode(F.sequence(
-        F.date_add("_last", 1), F.date_add("_last", horizon_days))).alias("period"))
-    horizon = horizon.withColumn("_dow", F.dayofweek("period"))
-    j = horizon.join(resid, [*keys, "_dow"], "left")
-    trend = F.col("_a") + F.col("_b") * F.datediff("period", F.lit("1970-01-01")).cast("double")
-    return j.select(*keys, "period",
-                    F.when(trend.isNotNull(), F.greatest(trend + F.coalesce(F.col("_r"), F.lit(0.0)), F.lit(0.0)))
-                    .alias("cost_gbp"))
-
-
-def daily_cost_series(u: DataFrame) -> DataFrame:
-    return u.groupBy(F.col("usage_date").alias("ds")).agg(money_sum(F.col("dbu_cost_gbp")).alias("y"))
+        held = held.withColumns({"_a": fit.select("_a").scalar(), "_b": fit.select("_b").scalar()})
+    miss = F.avg(F.abs(F.col("_y") - _predicted()))
+    out = held.join(residual, [*by, "_s"], "left").groupBy(*by).agg(
+        F.count("_y").alias("periods"), miss.alias("mean_abs_error"), (miss / F.nullif(F.avg("_y"), F.lit(0.0))).alias("relative_error"))
+    return out.select(*(["_k.*"] if keys else []), "periods", "mean_abs_error", "relative_error")
+
+
+def cost_series(u: DataFrame, grain: str = "DAY") -> DataFrame:
+    """(ds, y): cost of every period, by its first day."""
+    return u.groupBy(_period(grain).cast("date").alias("ds")).agg(money_sum(F.col("dbu_cost_gbp")).alias("y"))

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ..functions.bands import money_sum
 from ..operators import billing, perf
 from .oracle_sql import cte
 from .registry import q, register
@@ -61,9 +62,35 @@ FROM (SELECT usage_date AS ds, {_msum('dbu_cost_gbp')} AS y FROM priced GROUP BY
 cte("fc_fit", "SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, MAX(ds) AS last FROM fc_series", "fc_series")
 cte("fc_resid", "SELECT dayofweek(ds) AS dow, AVG(y - (a + b * x)) AS r FROM fc_series, fc_fit GROUP BY 1",
     "fc_series", "fc_fit")
-cte("fc_horizon", "SELECT CAST(last + CAST(i AS INTEGER) AS DATE) AS period, a, b FROM fc_fit, range(1, 31) t(i)",
+cte("fc_horizon", "SELECT CAST(last + CAST(i AS INTEGER) AS DATE) AS period, a, b FROM fc_fit, range(1, 31) t(i) WHERE last + CAST(i AS INTEGER) <= DATE '2024-01-28' + 30",
     "fc_fit")
 
+cte("fc_weekly", f"""SELECT CAST(date_trunc('week', usage_date) AS DATE) AS ds, {_msum('dbu_cost_gbp')} AS y FROM priced GROUP BY 1""",
+    "priced")
+
+cte("fc_monthly", f"""SELECT claim_type, CAST(date_trunc('month', claim_date) AS DATE) AS ds, {_msum('claim_amount_gbp')} AS y
+FROM s_claims GROUP BY 1, 2""", "s_claims")
+
+_MONTHS = "((year({d}) - 1970) * 12 + month({d}) - 1)"
+
+
+def _forecast_sql(series: str, step: str, first_day: str, season: str, end: str, key: str = "NULL") -> str:
+    named = f"h.k AS {key}, " if key != "NULL" else ""
+    return f"""WITH s AS (SELECT {key} AS k, ds, y, {step.format(d="ds")} AS x FROM {series}),
+fit AS (SELECT k, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, MAX(x) AS last, MAX(ds) AS until FROM s GROUP BY k),
+res AS (SELECT s.k, {season}(ds) AS se, AVG(y - (a + b * x)) AS r FROM s JOIN fit ON s.k IS NOT DISTINCT FROM fit.k GROUP BY 1, 2),
+h AS (SELECT k, a, b, unnest(range(last + 1, {step.format(d=f"CAST({end} AS DATE)")} + 1)) AS x FROM fit),
+d AS (SELECT *, {first_day} AS period FROM h)
+SELECT {named}period, CASE WHEN a IS NOT NULL THEN greatest(a + b * x + coalesce(r, 0.0), 0.0) END AS cost_gbp
+FROM d h LEFT JOIN res ON h.k IS NOT DISTINCT FROM res.k AND {season}(period) = se"""
+
+
+def _claimed_monthly(lk):
+    """(claim_type, ds, y): claimed amount of every month."""
+    return (lk.silver("claims").groupBy("claim_type", F.trunc("claim_date", "month").alias("ds"))
+            .agg(money_sum(F.col("claim_amount_gbp")).alias("y")))
+
+
 _SECS = "(floor(epoch({e})) - floor(epoch({s})))"
 
 cte("pipeline_durations", f"""
@@ -145,12 +172,41 @@ register(
 )
 register(
     "usage_forecast",
-    lambda lk: billing.usage_forecast(billing.daily_cost_series(lk.priced_usage(START, END)), horizon_days=30),
+    lambda lk: billing.usage_forecast(billing.cost_series(lk.priced_usage(START, END)), today=END),
     q("""SELECT period, greatest(a + b * CAST(date_diff('day', DATE '1970-01-01', period) AS DOUBLE) + coalesce(r, 0.0), 0.0)
   AS cost_gbp
 FROM fc_horizon LEFT JOIN fc_resid ON dayofweek(period) = dow""", "fc_horizon", "fc_resid"),
     rounded=("cost_gbp",),
 )
+register(
+    "usage_forecast_weekly",
+    lambda lk: billing.usage_forecast(billing.cost_series(lk.priced_usage(START, END), "WEEK"), grain="WEEK", today=END),
+    q(_forecast_sql("fc_weekly", "date_diff('day', DATE '1970-01-05', {d}) // 7", "CAST(DATE '1970-01-05' + CAST(x * 7 AS INTEGER) AS DATE)",
+                    "weekofyear", f"{E_SQL} + 84"), "fc_weekly"),
+    rounded=("cost_gbp",),
+)
+register(
+    "claims_forecast_monthly",
+    lambda lk: billing.usage_forecast(_claimed_monthly(lk), grain="MONTH", keys=["claim_type"]),
+    q(_forecast_sql("fc_monthly", _MONTHS, "make_date(1970 + x // 12, x % 12 + 1, 1)", "month", "until + 91", "claim_type"),
+      "fc_monthly"),
+    rounded=("cost_gbp",),
+)
+register(
+    "forecast_backtest",
+    lambda lk: billing.forecast_backtest(_claimed_monthly(lk), 12, grain="MONTH", keys=["claim_type"]),
+    q(f"""WITH s AS (SELECT claim_type, ds, y, {_MONTHS.format(d="ds")} AS x, MAX({_MONTHS.format(d="ds")}) OVER (PARTITION BY claim_type) - 12 AS cut
+  FROM fc_monthly),
+fit AS (SELECT claim_type, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM s WHERE x <= cut GROUP BY 1),
+res AS (SELECT s.claim_type, month(ds) AS se, AVG(y - (a + b * x)) AS r FROM s JOIN fit ON s.claim_type IS NOT DISTINCT FROM fit.claim_type
+  WHERE x <= cut GROUP BY 1, 2),
+p AS (SELECT s.claim_type, y, CASE WHEN a IS NOT NULL THEN greatest(a + b * x + coalesce(r, 0.0), 0.0) END AS f
+  FROM s LEFT JOIN fit ON s.claim_type IS NOT DISTINCT FROM fit.claim_type
+  LEFT JOIN res ON s.claim_type IS NOT DISTINCT FROM res.claim_type AND month(ds) = se WHERE x > cut)
+SELECT claim_type, COUNT(y) AS periods, AVG(abs(y - f)) AS mean_abs_error, AVG(abs(y - f)) / nullif(AVG(y), 0.0) AS relative_error
+FROM p GROUP BY 1""", "fc_monthly"),
+    rounded=("mean_abs_error", "relative_error"),
+)
 register(
     "cost_by_product",
     lambda lk: billing.cost_by_product(lk.priced_usage(START, END)),
