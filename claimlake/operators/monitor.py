@@ -3,17 +3,17 @@
 The reference hands this to a managed monitoring service; here each metric is
 an ordinary aggregate over the prediction log:
 
-* profile — unpivot the monitored columns (``stack``), group by window ×
-  slice × column with GROUPING SETS for the slices;
-* quality — the confusion matrix per window and slice → classification metrics;
+* profile — mergeable statistics per day and slice (:func:`daily_cells`), merged to the
+  windows and slices asked for;
+* quality — one confusion matrix per day and slice, added up → classification metrics;
 * drift — binned counts per window, each window compared with the previous
   window of the same column.  With ``p_i = (n_i + ε) / (N + ε·k)`` over the
   union of bins of the two windows, ``q`` the previous window and
   ``m = (p + q) / 2``: ``kl = Σ p ln(p/q)``,
   ``js = sqrt(½ Σ p ln(p/m) + ½ Σ q ln(q/m))``, ``chi2 = Σ (n_i − N q_i)² / (N q_i)``.
 
-Every window function is partitioned by column (and window) over already
-aggregated counts, so no partition grows with the log.
+Each metric reads the log once.  Every window function runs over already aggregated
+cells or counts, so no partition grows with the rows of the log.
 """
 
 from __future__ import annotations
@@ -32,89 +32,93 @@ PROFILE_COLUMNS = ("predicted_severity", "severity_encoded", "prob_minor", "prob
 DRIFT_COLUMNS = ("predicted_severity", "prob_minor", "prob_moderate", "prob_severe", "prob_total_loss")
 
 
-def _windows(p: DataFrame, ts: str, grains: Sequence[str]) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(g).alias("granularity"),
-                             F.date_trunc(GRAINS[g], F.col(ts)).alias("window_start")) for g in grains])
-    return p.withColumn("_w", F.explode(arr)).withColumns({
-        "granularity": F.col("_w.granularity"), "window_start": F.col("_w.window_start")}).drop("_w")
+_SCOPE = ("granularity", "window_start", "slice_key", "slice_value")
 
 
-def _long(p: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    return p.selectExpr(*[f"`{k}`" for k in keep], f"stack({len(cols)}, {stack}) AS (column_name, value)")
+def _scopes(cells: DataFrame, slices: Sequence[str], grains: Sequence[str], *keep: Column | str) -> DataFrame:
+    """Every cell (a day of some slices) once for each window and slice it belongs to, as ``_SCOPE`` columns."""
+    scope = F.explode(F.array(*[
+        F.struct(F.lit(g).alias("granularity"), F.date_trunc(GRAINS[g], F.col("_day")).alias("window_start"),
+                 F.lit(s or "all").alias("slice_key"), (F.col(s) if s else F.lit(None)).cast("string").alias("slice_value"))
+        for g in grains for s in (None, *slices)]))
+    return cells.withColumn("_scope", scope).select("_scope.*", *keep)
+
+
+def daily_cells(p: DataFrame, ts: str, cols: Sequence[str], slices: Sequence[str]) -> DataFrame:
+    """One pass over the log: per day and combination of slices the rows, and an array ``_stats`` with count, sum to 10 decimals
+    (exact, so equal for any order of rows; NULL if a value has more than 18 digits before the point or is no number),
+    mean, sum of squares about the mean, minimum and maximum of every column.  Cells of any days and slices can be merged."""
+    def stats(c: str) -> Column:
+        v = F.col(c).cast("double")
+        exact = v.try_cast("decimal(28, 10)")
+        return F.struct(F.lit(c).alias("column_name"), F.count(v).alias("n"),
+                        F.when(F.count(exact) == F.count(v), F.coalesce(F.sum(exact), F.lit(0).cast("decimal(38, 10)"))).alias("total"),
+                        F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"), F.min(v).alias("low"), F.max(v).alias("high"))
+
+    return (p.groupBy(F.date_trunc("day", F.col(ts)).alias("_day"), *slices)
+            .agg(F.count(F.lit(1)).alias("rows"), F.array(*[stats(c) for c in cols]).alias("_stats")))
 
 
 def monitor_profile(p: DataFrame, ts: str, cols: Sequence[str], slices: Sequence[str],
                     grains: Sequence[str] = ("1 day", "1 week")) -> DataFrame:
-    """count, % NULL, mean, std, min, max per (granularity, window, slice, column)."""
-    w = _windows(p, ts, grains)
-    long = _long(w, cols, ["granularity", "window_start", *slices])
-    sets = [["granularity", "window_start", "column_name"]] + [
-        ["granularity", "window_start", "column_name", s] for s in slices]
-    g = long.groupingSets(sets, "granularity", "window_start", "column_name", *slices)
-    agg = g.agg(F.count(F.lit(1)).alias("count"),
-                (F.count_if(F.col("value").isNull()) * 100.0 / F.count(F.lit(1))).alias("percent_null"),
-                F.avg("value").alias("mean"), F.stddev("value").alias("std_dev"),
-                F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-                *[F.grouping(s).alias(f"_g_{s}") for s in slices])
-    key, val = F.lit("all"), F.lit(None).cast("string")
-    for s in slices:
-        key = F.when(F.col(f"_g_{s}") == 0, F.lit(s)).otherwise(key)
-        val = F.when(F.col(f"_g_{s}") == 0, F.col(s).cast("string")).otherwise(val)
-    return agg.select("granularity", "window_start", key.alias("slice_key"), val.alias("slice_value"),
-                      "column_name", "count", "percent_null", "mean", "std_dev", "min_value", "max_value")
+    """count, % NULL, mean, std, min, max per (granularity, window, slice, column).
+
+    The log is aggregated once, to :func:`daily_cells`; windows and slices are merged from those.  A merged spread is the
+    sum of the cells' own and of their means' squares about the common mean, which cancels no large numbers.  A mean is
+    that of the exact sums, or of the cells' means where a cell has no exact sum.  A column
+    without values has NULL statistics, one with a single value no deviation.
+    """
+    long = (_scopes(daily_cells(p, ts, cols, slices), slices, grains, "rows", F.explode("_stats").alias("s"))
+            .select(*_SCOPE, "rows", "s.*"))
+    every = Window.partitionBy(*_SCOPE, "column_name")
+    long = long.withColumn("_mean", F.sum(F.col("n") * F.col("mean")).over(every) / F.nullif(F.sum("n").over(every), F.lit(0)))
+    n, rows = F.sum("n"), F.sum("rows")
+    exact = F.when(F.count("total") == F.count(F.lit(1)), F.sum("total").cast("double"))
+    spread = F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) ** 2)
+    return long.groupBy(*_SCOPE, "column_name").agg(
+        rows.alias("count"), ((rows - n) * 100.0 / rows).alias("percent_null"), F.coalesce(exact / F.nullif(n, F.lit(0)), F.max("_mean")).alias("mean"),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias("std_dev"), F.min("low").alias("min_value"), F.max("high").alias("max_value"))
 
 
 def monitor_quality(p: DataFrame, ts: str, actual: str, pred: str, slices: Sequence[str] = (),
                     grains: Sequence[str] = ("1 day", "1 week")) -> DataFrame:
-    """Accuracy and F1 per window, overall and per slice."""
-    w = _windows(p, ts, grains)
-    parts = []
-    for s in (None, *slices):
-        by = ["granularity", "window_start"] + ([s] if s else [])
-        cm = model.confusion_matrix(w, actual, pred, by)
-        m = model.classification_metrics(cm, by).withColumns({
-            "slice_key": F.lit(s or "all"),
-            "slice_value": F.col(s).cast("string") if s else F.lit(None).cast("string")})
-        parts.append(m.drop(s) if s else m)
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    """Accuracy and F1 per window, overall and per slice: one confusion matrix per day and combination of slices from one
+    pass over the log, added up for every window and slice.  Rows without an actual class take no part."""
+    daily = model.confusion_matrix(p.withColumn("_day", F.date_trunc("day", F.col(ts))), actual, pred, ["_day", *slices])
+    cm = (_scopes(daily, slices, grains, "actual", "predicted", "n")
+          .groupBy(*_SCOPE, "actual", "predicted").agg(F.sum("n").alias("n")))
+    return model.classification_metrics(cm, _SCOPE)
 
 
 def _bins(col: str, value: Column, bins: int, probability_cols: Sequence[str]) -> Column:
     if col in probability_cols:
-        return F.least(F.floor(value * bins), F.lit(bins - 1)).cast("bigint")
+        return F.when(value.isNotNull(), F.least(F.floor(value * bins), F.lit(bins - 1)).cast("bigint"))
     return value.cast("bigint")
 
 
 def monitor_drift(p: DataFrame, ts: str, cols: Sequence[str], grain: str = "1 day", bins: int = 10,
                   eps: float = 1e-6, flag_at: float = 0.10,
                   probability_cols: Sequence[str] | None = None) -> DataFrame:
-    """KL divergence, JS distance and chi-squared of each window against the previous window."""
+    """KL divergence, JS distance and chi-squared of each window against the column's previous window with values."""
     prob_cols = tuple(probability_cols if probability_cols is not None else [c for c in cols if c.startswith("prob_")])
-    w = _windows(p, ts, [grain])
-    long = _long(w, cols, ["window_start"]).filter(F.col("value").isNotNull())
-    bin_expr = None
-    for c in cols:
-        e = _bins(c, F.col("value"), bins, prob_cols)
-        bin_expr = F.when(F.col("column_name") == c, e) if bin_expr is None else bin_expr.when(F.col("column_name") == c, e)
-    binned = long.select("window_start", "column_name", bin_expr.alias("bin"))
-    counts = binned.groupBy("window_start", "column_name", "bin").agg(F.count(F.lit(1)).alias("n"))
-    # previous window per column, over the distinct windows (one row per window and column)
-    wins = counts.select("column_name", "window_start").distinct()
-    pairs = wins.withColumn("prev_window", F.lag("window_start").over(
-        Window.partitionBy("column_name").orderBy("window_start"))).filter(F.col("prev_window").isNotNull())
-    cur = counts.join(pairs.select("column_name", "window_start"), ["column_name", "window_start"], "inner")
-    prev = (counts.withColumnRenamed("window_start", "prev_window").withColumnRenamed("n", "n_prev")
-            .join(pairs, ["column_name", "prev_window"], "inner").drop("prev_window"))
-    both = (cur.join(prev, ["column_name", "window_start", "bin"], "full_outer")
-            .select("column_name", "window_start", "bin",
-                    F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_prev", F.lit(0)).alias("n_prev")))
+    bins_of = F.array(*[F.struct(F.lit(c).alias("column_name"), _bins(c, F.col(c).cast("double"), bins, prob_cols).alias("bin"))
+                        for c in cols])
+    counts = (p.select(F.date_trunc(GRAINS[grain], F.col(ts)).alias("window_start"), F.explode(bins_of).alias("b"))
+              .select("window_start", "b.*").filter(F.col("bin").isNotNull())
+              .groupBy("column_name", "window_start", "bin").agg(F.count(F.lit(1)).alias("n")))
+    # A count stands in its own window and, as the previous one's, in the column's next window.
+    after = (Window.partitionBy("column_name").orderBy(F.unix_micros(F.col("window_start").cast("timestamp")))
+             .rangeBetween(1, Window.unboundedFollowing))
+    turns = F.explode(F.array(
+        F.struct(F.col("window_start"), F.col("n"), F.lit(0).cast("long").alias("n_prev")),
+        F.struct(F.col("_next").alias("window_start"), F.lit(0).cast("long").alias("n"), F.col("n").alias("n_prev"))))
+    both = (counts.withColumn("_next", F.min("window_start").over(after)).select("column_name", "bin", turns.alias("t"))
+            .select("column_name", "bin", "t.*").filter(F.col("window_start").isNotNull())
+            .groupBy("column_name", "window_start", "bin").agg(F.sum("n").alias("n"), F.sum("n_prev").alias("n_prev")))
     grp = Window.partitionBy("column_name", "window_start")
+    # A column's first window has nothing before it.
     both = both.withColumns({"_tot_cur": F.sum("n").over(grp), "_tot_prev": F.sum("n_prev").over(grp),
-                             "_k": F.count(F.lit(1)).over(grp)})
+                             "_k": F.count(F.lit(1)).over(grp)}).filter(F.col("_tot_prev") > 0)
     pi = (F.col("n") + eps) / (F.col("_tot_cur") + eps * F.col("_k"))
     qi = (F.col("n_prev") + eps) / (F.col("_tot_prev") + eps * F.col("_k"))
     both = both.withColumns({"_p": pi, "_q": qi}).withColumn("_mid", (F.col("_p") + F.col("_q")) / 2)

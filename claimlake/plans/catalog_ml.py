@@ -152,7 +152,7 @@ SELECT granularity, window_start,
   CASE WHEN GROUPING(predicted_severity_label) = 0 THEN predicted_severity_label
        WHEN GROUPING(model_version) = 0 THEN model_version END AS slice_value,
   column_name, COUNT(*) AS count, count_if(value IS NULL) * CAST(100.0 AS DOUBLE) / COUNT(*) AS percent_null,
-  AVG(value) AS mean, stddev_samp(value) AS std_dev, MIN(value) AS min_value, MAX(value) AS max_value
+  CAST(SUM(CAST(value AS DECIMAL(38,10))) AS DOUBLE) / COUNT(value) AS mean, stddev_samp(value) AS std_dev, MIN(value) AS min_value, MAX(value) AS max_value
 FROM preds_long
 GROUP BY GROUPING SETS ((granularity, window_start, column_name),
                         (granularity, window_start, column_name, predicted_severity_label),
@@ -182,7 +182,6 @@ register(
     <= (COUNT(*) OVER (PARTITION BY {LABEL}) * 20 + 50) // 100 AS is_test FROM prepared) WHERE NOT is_test),
 c AS (SELECT {LABEL}, COUNT(*) AS n_c FROM tr GROUP BY 1)
 SELECT {LABEL}, n_c, (SELECT COUNT(*) FROM tr) / ((SELECT COUNT(*) FROM c) * n_c) AS weight FROM c""", "prepared"),
-    rounded=("weight",),
 )
 register(
     "train_severity",
@@ -346,7 +345,7 @@ def _profile(lk: Lake):
 
 
 register("monitor_profile", _profile, q("SELECT * FROM profile", "profile"),
-         rounded=("percent_null", "mean", "std_dev"))
+         rounded=("std_dev",))
 register(
     "monitor_quality",
     lambda lk: monitor.monitor_quality(_predictions(lk), "scored_at", "severity_encoded", "predicted_severity",

@@ -1,6 +1,10 @@
 """Split exactness, metrics against hand computation, drift sanity."""
 
+import collections
+import datetime
 import hashlib
+import math
+import statistics
 
 from pyspark.sql import functions as F
 
@@ -77,3 +81,79 @@ def test_identical_windows_have_no_drift(spark):
     p = spark.createDataFrame(rows, "ts timestamp, prob_x double")
     d = monitor.monitor_drift(p, "ts", ["prob_x"], "1 day").collect()
     assert len(d) == 1 and d[0]["js_distance"] < 1e-6 and d[0]["drift_severity"] == "none"
+
+
+def _log(spark):
+    import datetime as dt
+    rows = []
+    for i in range(4000):
+        at = dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * (i % 97), minutes=i % 59)
+        if at.day % 5 == 0:          # days without rows
+            continue
+        x = None if i % 11 == 0 else 1e6 + ((i * 7919) % 1000) / 1000
+        rows.append((at, x, None if at.day < 4 else (i % 10) / 10, i % 4, (i * 3) % 5 % 4, None if i % 3 == 0 else f"v{i % 2}"))
+    return rows, spark.createDataFrame(rows, "ts timestamp_ntz, x double, prob_x double, a int, p int, version string")
+
+
+def test_profile_merges_to_what_all_rows_give(spark):
+    """Large mean, small spread, nulls, a column without values at first, a null slice."""
+    rows, log = _log(spark)
+    got = {(r.granularity, str(r.window_start), r.slice_key, r.slice_value, r.column_name): r
+           for r in monitor.monitor_profile(log, "ts", ["x", "prob_x"], ["version"]).collect()}
+    cells = collections.defaultdict(list)
+    for at, x, prob, _, _, version in rows:
+        day = at.replace(hour=0, minute=0)
+        for g, start in (("1 day", day), ("1 week", day - datetime.timedelta(day.weekday()))):
+            for key, value in (("all", None), ("version", version)):
+                for c, v in (("x", x), ("prob_x", prob)):
+                    cells[g, str(start), key, value, c].append(v)
+    assert set(got) == set(cells)
+    for k, values in cells.items():
+        r, there = got[k], [v for v in values if v is not None]
+        assert r["count"] == len(values) and abs(r.percent_null - 100 * (len(values) - len(there)) / len(values)) < 1e-9
+        assert (r.min_value, r.max_value) == ((min(there), max(there)) if there else (None, None))
+        assert r.mean is None if not there else abs(r.mean - statistics.fmean(there)) < 1e-6
+        assert r.std_dev is None if len(there) < 2 else abs(r.std_dev - statistics.stdev(there)) < 1e-7
+
+
+def test_quality_and_drift_equal_plain_python(spark):
+    rows, log = _log(spark)
+    quality = monitor.monitor_quality(log, "ts", "a", "p", ["version"])
+    for r in quality.collect():
+        days = 1 if r.granularity == "1 day" else 7
+        mine = [(a, p) for at, _, _, a, p, v in rows if r.window_start <= at < r.window_start + datetime.timedelta(days)
+                and (r.slice_key == "all" or v == r.slice_value)]
+        assert r.support == len(mine) and abs(r.accuracy - sum(a == p for a, p in mine) / len(mine)) < 1e-12
+    drift = {(r.column_name, r.window_start): r for r in monitor.monitor_drift(log, "ts", ["a", "prob_x"], "1 day").collect()}
+    expect = {}
+    for c, of in (("a", lambda r: r[3]), ("prob_x", lambda r: None if r[2] is None else min(int(r[2] * 10 // 1), 9))):
+        seen = collections.defaultdict(collections.Counter)
+        for r in rows:
+            if of(r) is not None:
+                seen[r[0].replace(hour=0, minute=0)][of(r)] += 1
+        days = sorted(seen)
+        for before, day in zip(days, days[1:]):
+            keys = set(seen[before]) | set(seen[day])
+            n, m, k, e = sum(seen[day].values()), sum(seen[before].values()), len(keys), 1e-6
+            p = {b: (seen[day][b] + e) / (n + e * k) for b in keys}
+            q = {b: (seen[before][b] + e) / (m + e * k) for b in keys}
+            expect[c, day] = (sum(p[b] * math.log(p[b] / q[b]) for b in keys), n, m)
+    assert set(drift) == set(expect)
+    for k, (kl, n, m) in expect.items():
+        assert abs(drift[k].kl_divergence - kl) < 1e-9 and (drift[k]["count"], drift[k].count_prev) == (n, m)
+
+
+def test_monitors_read_the_log_once(spark, tmp_path):
+    _log(spark)[1].write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    for df in (monitor.monitor_profile(log, "ts", ["x", "prob_x"], ["version"]), monitor.monitor_quality(log, "ts", "a", "p", ["version"]),
+               monitor.monitor_drift(log, "ts", ["a", "prob_x"])):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+        assert df.limit(0).count() == 0
+    assert monitor.monitor_profile(log.limit(0), "ts", ["x"], ["version"]).count() == 0
+
+
+def test_profile_of_values_without_exact_sum(spark):
+    log = spark.sql("SELECT timestamp_ntz '2024-01-01' ts, CAST(v AS DOUBLE) x FROM VALUES (1e30), (3e30), (NULL) t(v)")
+    for r in monitor.monitor_profile(log, "ts", ["x"], []).collect():
+        assert (r["count"], r.mean, r.min_value, r.max_value) == (3, 2e30, 1e30, 3e30)
