@@ -297,16 +297,12 @@ def _replace_full(lk: Lake):
 register("replace_full", _replace_full, q("SELECT * FROM fx_list_prices", "fx_list_prices"))
 
 
-def _refresh_partitioned(lk: Lake):
+def _refresh_partitioned(lk: Lake, source=None):
     """The overlap refresh as storage does it: only reloaded date partitions are rewritten."""
     path = scratch_path(lk.spark, "usage")
     usage = lk.view("usage")
     files.write_partitioned(usage.filter(F.col("usage_date") < F.lit(CUT)), path, "usage_date")
-    target = lk.spark.read.parquet(path)
-    cut = incremental.overlap_cutoff(target, F.col("usage_date")).scalar()
-    fresh = usage.filter(F.col("usage_date") >= cut)
-    staged = files.stage_and_swap(fresh, f"{path}-staging")            # never overwrite what we read
-    files.write_partitioned(lk.spark.read.parquet(staged), path, "usage_date")
+    incremental.refresh_partitions(lk.spark, path, usage if source is None else source, "usage_date")
     return lk.spark.read.parquet(path).select(*USAGE_FLAT)
 
 
@@ -317,6 +313,14 @@ register(
 UNION ALL SELECT * FROM fx_usage WHERE usage_date >= (SELECT cut FROM usage_cut)""", "usage_target", "usage_cut",
       "fx_usage"),
 )
+register(  # the source has lost the last loaded day and corrects nothing older than the cutoff
+    "overlap_refresh_vanished",
+    lambda lk: _refresh_partitioned(lk, lk.view("usage").filter(F.col("usage_date") != F.date_sub(F.lit(CUT), 1))),
+    q(f"""SELECT * FROM usage_target WHERE usage_date < (SELECT cut FROM usage_cut)
+UNION ALL SELECT * FROM fx_usage WHERE usage_date >= (SELECT cut FROM usage_cut) AND usage_date <> DATE '{CUT}' - 1""",
+      "usage_target", "usage_cut", "fx_usage"),
+)
+
 
 def _registry_profile(lk: Lake):
     """Each registered landing entity loaded with its schema: rows and column count."""

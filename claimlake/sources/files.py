@@ -119,6 +119,8 @@ def materialize(df: DataFrame, cfg: TableConfig, layer: str, name: str, partitio
     by a sort-merge join with no exchange on either side.
     """
     loc = cfg.location(layer, name)
+    if partition_by:      # few files a partition, however many tasks hold rows of it
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -151,6 +153,16 @@ def stage_and_swap(df: DataFrame, base: str) -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
-    """Dynamic partition overwrite: only the date partitions present in ``df`` are replaced."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Dynamic partition overwrite: only the date partitions present in ``df`` are replaced.
+
+    Rows are rebalanced by the partition column first, so a partition gets few files however many tasks hold rows of it,
+    and a date with most of the rows is split over several tasks."""
+    (df.hint("rebalance", F.col(partition_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+
+
+def drop_partitions(spark: SparkSession, path: str, partition_col: str, values: Sequence) -> None:
+    """Delete whole partitions of a table of files; those that do not exist are left out."""
+    for v in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={v}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -21,6 +21,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import drop_partitions, stage_and_swap, write_partitioned
+
 OVERLAP_DAYS = 7
 EMPTY_CUTOFF = date(2020, 1, 1)
 FX_HISTORY_START = date(2022, 6, 1)
@@ -62,6 +64,27 @@ def overlap_refresh(target: DataFrame | None, source: DataFrame, date_col: str,
     return target.filter(~F.coalesce(d >= cut, F.lit(False))).unionByName(source.filter(d >= cut))
 
 
+def refresh_partitions(spark: SparkSession, path: str, source: DataFrame, date_col: str, days: int = OVERLAP_DAYS) -> None:
+    """:func:`overlap_refresh` of a table of date partitions in place: only the partitions from the cutoff on change.
+
+    Partitions that ``source`` has are replaced, those from the cutoff on that it no longer has are dropped; older ones and
+    the one without a date stay.  The new rows are staged first, so ``source`` may read ``path``; a run that was cut short
+    is repeated with the same result.  An empty source empties the reloaded days (a table with no other days is then left without
+    files).  Through the driver go the cutoff and the
+    dates from it on.
+    """
+    target = spark.read.parquet(path)
+    cut = overlap_cutoff(target, F.col(date_col), days).first()[0]
+    fresh = spark.read.parquet(stage_and_swap(source.filter(F.col(date_col) >= F.lit(cut)), f"{path.rstrip('/')}-staging"))
+
+    def dates(df: DataFrame) -> set:
+        return {r[0] for r in df.filter(F.col(date_col) >= F.lit(cut)).select(date_col).distinct().collect()}
+
+    had, has = dates(target), dates(fresh)
+    write_partitioned(fresh, path, date_col)
+    drop_partitions(spark, path, date_col, sorted(had - has))
+
+
 def overlap_refresh_enriched(target: DataFrame | None, source: DataFrame, names: DataFrame, key: str,
                              date_col: str, days: int = OVERLAP_DAYS, name_col: str = "name",
                              alias: str = "pipeline_name", date_expr: Column | None = None) -> DataFrame:

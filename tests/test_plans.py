@@ -14,7 +14,7 @@ from .conftest import SF_SMALL
 # Keys whose operators run actions while building the plan (writes, training);
 # their plans are covered by the oracle/rows checks instead.
 SIDE_EFFECTING = {"land_csv", "land_by_name", "landing_expectations", "ingest_stream", "ingest_audit_cols", "rescue_malformed", "materialize",
-                  "overwrite_with_schema", "replace_full", "overlap_refresh_partitioned", "lakehouse_job",
+                  "overwrite_with_schema", "replace_full", "overlap_refresh_partitioned", "overlap_refresh_vanished", "lakehouse_job",
                   "model_registry", "train_severity", "score_claims", "feature_importance", "stratified_split",
                   "class_weights"}
 KEYS = sorted(k for k in entry.queries() if k not in SIDE_EFFECTING)
