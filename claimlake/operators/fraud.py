@@ -42,14 +42,10 @@ def fraud_where(s: DataFrame, months: tuple[str, str] | None = None, regions: Se
 
 
 def fraud_filter_values(s: DataFrame) -> DataFrame:
-    """Sorted non-NULL months, regions and claim types, one row per (kind, value)."""
-    kinds = [("month", "month"), ("region", "incident_region"), ("claim_type", "claim_type")]
-    parts = [s.select(F.lit(k).alias("kind"), F.col(c).alias("value")).where(F.col(c).isNotNull())
-             for k, c in kinds]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+    """Sorted non-NULL months, regions and claim types, one row per (kind, value), from one pass over the summary."""
+    kinds = {"month": "month", "region": "incident_region", "claim_type": "claim_type"}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in kinds.items()]))
+    return s.select(each.alias("v")).select("v.*").where("value IS NOT NULL").distinct().orderBy("kind", "value")
 
 
 def _rate() -> Column:

@@ -34,10 +34,10 @@ MOST_CLASSES = 1000
 
 
 def class_distribution(f: DataFrame, label: str) -> DataFrame:
-    """Count and percentage per label; the total is a scalar subquery (no global window)."""
-    total = f.filter(F.col(label).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    return (f.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("pct", F.round(F.col("count") / total * 100, 2)))
+    """Count and percentage per label, from one pass; the total is summed over the classes' counts."""
+    counts = f.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+    total = F.sum("count").over(Window.partitionBy())
+    return counts.withColumn("pct", F.round(F.col("count") / total * 100, 2))
 
 
 def prepare_training(f: DataFrame, features: Sequence[str], label: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -144,9 +144,8 @@ def split_weights(spark: SparkSession, cuts: Sequence[ClassCut], label: str, lab
 def class_weights(f: DataFrame, label: str) -> DataFrame:
     """Balanced weights ``n / (k · n_c)`` per class (k = number of classes present)."""
     counts = f.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    n = f.filter(F.col(label).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    k = counts.agg(F.count(F.lit(1))).scalar()
-    return counts.withColumn("weight", n / (k * F.col("n_c")))
+    every = Window.partitionBy()      # over one row per class
+    return counts.withColumn("weight", F.sum("n_c").over(every) / (F.count(F.lit(1)).over(every) * F.col("n_c")))
 
 
 def with_class_weights(f: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:

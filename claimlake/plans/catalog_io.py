@@ -75,6 +75,16 @@ FROM timeline t LEFT JOIN pipelines p ON t.pipeline_id = p.pipeline_id
 WHERE CAST(t.period_start_time AS DATE) >= (SELECT cut FROM timeline_cut)""",
       "timeline_target", "timeline_cut", "timeline", "pipelines"),
 )
+register(  # by the day of a timestamp
+    "overlap_refresh_history",
+    lambda lk: incremental.overlap_refresh(
+        lk.view("query_history").filter(F.to_date("start_time") < F.lit(CUT)), lk.view("query_history"), "start_time",
+        date_expr=F.to_date("start_time")),
+    q(f"""WITH t AS (SELECT * FROM fx_query_history WHERE CAST(start_time AS DATE) < {CUT_SQL}),
+c AS (SELECT coalesce(MAX(CAST(start_time AS DATE)) - 7, DATE '2020-01-01') AS cut FROM t)
+SELECT * FROM t WHERE CAST(start_time AS DATE) < (SELECT cut FROM c)
+UNION ALL SELECT * FROM fx_query_history WHERE CAST(start_time AS DATE) >= (SELECT cut FROM c)""", "fx_query_history"),
+)
 register(
     "upsert_by_key",
     lambda lk: incremental.upsert_by_key(_fx_target(lk), _fx_updates(lk), ["rate_date"]),

@@ -114,18 +114,14 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str],
 
 def high_water_mark(target: DataFrame | None, date_col: str, today: date,
                     start: date = FX_HISTORY_START) -> DataFrame:
-    """Next fetch window: (max(date) + 1 day or ``start``) … today, and whether it is empty."""
+    """Next fetch window: (max(date) + 1 day or ``start``) … today, and whether it is empty.  Without a target, or with an
+    empty one, the window begins at ``start``."""
     if target is None:
-        frm = F.lit(start)
-        base = None
+        last = SparkSession.active().range(1).select(F.lit(None).cast("date").alias("_m"))
     else:
-        base = target.agg(F.max(date_col).alias("_m"))
-        frm = F.coalesce(F.date_add(F.col("_m"), 1), F.lit(start))
-    cols = [frm.alias("fetch_from"), F.lit(today).alias("fetch_to"),
-            (frm > F.lit(today)).alias("up_to_date")]
-    if base is None:
-        raise ValueError("no target: first run fetches from start")
-    return base.select(*cols)
+        last = target.agg(F.max(date_col).alias("_m"))
+    frm = F.coalesce(F.date_add(F.col("_m"), 1), F.lit(start))
+    return last.select(frm.alias("fetch_from"), F.lit(today).alias("fetch_to"), (frm > F.lit(today)).alias("up_to_date"))
 
 
 def year_chunks(window: DataFrame, from_col: str = "fetch_from", to_col: str = "fetch_to") -> DataFrame:

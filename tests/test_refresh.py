@@ -45,3 +45,12 @@ def test_few_files_a_partition(spark, tmp_path):
     for table in ("a", "silver/b"):
         for p in range(5):
             assert len([f for f in os.listdir(tmp_path / table / f"p={p}") if f.endswith(".parquet")]) == 1
+
+
+def test_first_fetch_window_begins_at_the_start(spark):
+    empty = spark.createDataFrame([], "rate_date date")
+    for target in (None, empty):
+        r = incremental.high_water_mark(target, "rate_date", date(2024, 1, 5), start=date(2024, 1, 1)).collect()
+        assert [tuple(x) for x in r] == [(date(2024, 1, 1), date(2024, 1, 5), False)]
+    years = incremental.year_chunks(incremental.high_water_mark(None, "rate_date", date(2024, 1, 5), start=date(2022, 6, 1)))
+    assert years.count() == 3
