@@ -182,6 +182,26 @@ def test_chat_of_one_turn_number_and_of_nothing(spark):
     assert chat.read_back(chat.format_chat(empty)).count() == 0 and chat.texts(chat.format_chat(empty)).count() == 0
 
 
+def test_chat_is_written_as_text_and_read_by_its_marks(spark, turns, monkeypatch):
+    given = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, start int, piece int")
+    pieces = chat.format_chat(given)
+    monkeypatch.setattr(chat, "PART", 64)
+    chats, want = collections.defaultdict(str), collections.defaultdict(str)
+    small = chat.write_chat(pieces)
+    for r in small.orderBy("conv_id", "part").collect():
+        chats[r.conv_id] += r.text
+    for r in sorted(turns, key=lambda r: r[1]):
+        want[r[0]] += "".join(_formatted(r[2], r[3]))
+    assert chats == want and small.filter("part > 0").count() > 0
+    # Parts cut anywhere, also within marks, read alike.
+    cut = small.selectExpr("conv_id", "2 * part AS part", "left(text, 5) AS text", "filter(examples, e -> false) AS examples").unionByName(
+        small.selectExpr("conv_id", "2 * part + 1 AS part", "substr(text, 6) AS text", "examples"))
+    read = lambda df: sorted(map(str, map(tuple, chat.read_chat(df).collect())))
+    assert read(cut) == read(small) == sorted(map(str, map(tuple, chat.read_back(pieces).collect())))
+    with pytest.raises(Exception, match="no turn at"):
+        chat.read_chat(small.selectExpr("conv_id", "part", "concat('x', text) AS text", "examples")).collect()
+
+
 def test_id_files_of_both_widths_and_forgotten_strings(spark, tmp_path, monkeypatch):
     import json
 
