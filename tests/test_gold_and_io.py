@@ -122,3 +122,31 @@ def test_cluster_conf_sizes_shuffle_for_input():
     big = cluster_conf(100 * 2**40)
     assert int(big["spark.sql.shuffle.partitions"]) == 400_000
     assert int(cluster_conf(10 * 2**20)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_repeated_ids_multiply_rows_only_after_the_claims_own_joins(spark):
+    from claimlake.operators import features
+
+    def side(schema, *rows):
+        return spark.createDataFrame(list(rows), schema)
+
+    claims = side("claim_id string, policy_id string, policyholder_id string, vehicle_id string, severity_label string, claim_type string, "
+                  "claim_amount_gbp double, fraud_risk_score double, is_storm_related boolean",
+                  ("C1", "P1", "H1", "V1", "minor", "fire", 1.0, 0.1, True), (None, "P1", None, "V2", "severe", "theft", 2.0, 0.2, None))
+    policies = side("policy_id string, policy_type string, excess double, coverage_limit double, premium_monthly double",
+                    ("P1", "Comprehensive", 1.0, 2.0, 3.0), ("P1", "Comprehensive", 4.0, 5.0, 6.0))
+    holders = side("policyholder_id string, age int, driving_years int, driving_points int", ("H1", 30, 5, 0), (None, 1, 1, 1))
+    vehicles = side("vehicle_id string, vehicle_type string, year int, estimated_value double, mileage int",
+                    ("V1", "SUV", 2010, 1.0, 1), ("V1", "Estate", 2011, 1.0, 1), ("V1", "SUV", 2012, 1.0, 1))
+    incidents = side("incident_id string, claim_id string, weather_condition string, road_condition string, visibility string, "
+                     "num_vehicles_involved int, witness_count int, police_report_filed string",
+                     ("I1", "C1", "flood", "icy", "poor", 1, 1, "Y"), ("I2", "C1", "clear", "dry", "good", 2, 0, "N"))
+    assessed = side("claim_id string, assessment_id string, assessor_tier string, labour_hours double, estimated_repair_cost_gbp double",
+                    ("C1", "A1", "junior", 1.0, 10.0), ("C1", "A2", "senior", 2.0, 20.0))
+    for mode, of_c1 in (("first", 6), ("all", 12)):
+        made = features.claim_features(claims, policies, holders, vehicles, incidents, assessed, incident_mode=mode)
+        rows = made.collect()
+        assert sum(r.claim_id == "C1" for r in rows) == of_c1 and sum(r.claim_id is None for r in rows) == 2
+        assert {(r.f_num_assessments, r.f_ph_age) for r in rows} == {(2, 30), (0, None)}
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "vehicle_id" in next(line for line in plan.splitlines() if "Join" in line)   # the last join of all
