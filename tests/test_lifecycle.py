@@ -61,3 +61,26 @@ def test_boosting_beats_the_forest_and_stops_by_itself(rows, registry):
     assert all(s.getNumTrees < lifecycle.BOOSTING["maxIter"] for s in noise.stages if hasattr(s, "getNumTrees"))
     probs = [r.probs for r in lifecycle.score(held, noise).collect()]
     assert all(len(p) == 4 and p[2] == p[3] == 0 and abs(sum(p) - 1) < 1e-9 for p in probs)  # two classes never seen
+
+
+def test_rows_of_a_query_are_joined_and_written_once(spark, tmp_path):
+    from claimlake.plans.lake import Lake
+
+    lake, built = Lake(spark, str(tmp_path)), []
+    for _ in range(3):
+        rows = lake.written("rows", lambda: built.append(1) or spark.range(7).toDF("k"))
+        assert sorted(r.k for r in rows.filter("k > 2").collect()) == [3, 4, 5, 6] and rows.inputFiles()
+    assert built == [1] and lake.has_written("rows") and not Lake(spark, str(tmp_path)).has_written("rows")
+
+
+def test_both_models_of_a_query_read_one_split(spark, monkeypatch):
+    from claimlake.plans import registry as queries
+    from claimlake.plans.lake import Lake
+
+    queries._load()
+    from claimlake.plans import catalog_ml
+
+    made, prepared = [], catalog_ml._prepared
+    monkeypatch.setattr(catalog_ml, "_prepared", lambda lk: made.append(1) or prepared(lk))
+    rows = catalog_ml._scored_checks(Lake(spark, "/root/testdata/sf0.001"))
+    assert made == [1] and rows.count() == 2 * prepared(Lake(spark, "/root/testdata/sf0.001")).count()
