@@ -18,6 +18,9 @@ from __future__ import annotations
 
 import io
 import os
+import re
+import string
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -125,6 +128,8 @@ class PerfectIndex:
 BLANKS = "\t\n\v\f\r"
 #: Characters of the strings a worker remembers the ids of at most, and the number of strings of one generation.
 KNOWN_CHARS, KNOWN = 64, 300_000
+#: Characters looked at one by one: Latin, Greek, Cyrillic, Armenian.
+LETTERS = "".join(map(chr, range(0x30, 0x590)))
 #: Bytes before the ids in a file of ids.
 HEADER = 8
 
@@ -140,21 +145,60 @@ class Pieces:
         self.marks = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         #: Upper case gives the ids of lower case.
         self.no_case = all(ids(w) == ids(w.lower()) for w in ("A", "The", "QXZ", "MiXeD"))
-        #: A comma or full stop at the end of a word is a piece of its own.
-        before = tokenizer.pre_tokenizer
-        self.ends = {end: ids(end) for end in ",."
-                     if before is not None and [p for p, _ in before.pre_tokenize_str(f"word{end}")][1:] == [end]}
+        #: A run of these at the end of a word is a piece of its own; none of them is part of a mark.  ``solid`` are the
+        #: characters that they may follow: normalization turns some others into ones that join a run.
+        self.ends = self._ends(ids)
+        self.solid = frozenset(c for c in LETTERS if self.ends and c.isalnum() and ids(c + self.ends[0]) == ids(c) + ids(self.ends[0]))
         #: A bar between blanks is one id, which text without a bar never has; it separates strings encoded in one call.
         bar = ids("|")
         alone = len(bar) == 1 and "|" in (tokenizer.id_to_token(bar[0]) or "") and ids("a | b") == ids("a") + bar + ids("b")
         self.bar = bar[0] if alone else None
+        #: Letters that normalization leaves alone and that stay together in one piece, and what the model reads for them.
+        self.letters = self._letters(ids)
+        self.is_word = re.compile(f"[{''.join(map(chr, self.letters))}]+").fullmatch if self.letters else lambda _: None
+
+    def _ends(self, ids) -> str:
+        before, in_marks = self.tokenizer.pre_tokenizer, set("".join(self.marks))
+        if before is None:
+            return ""
+
+        def apart(run: str) -> bool:
+            return all([p for p, _ in before.pre_tokenize_str(w + run)][:1] == [p for p, _ in before.pre_tokenize_str(w)]
+                       and ids(w + run) == ids(w) + ids(run) for w in ("word", "e"))
+
+        ends = [c for c in string.punctuation if c not in in_marks and apart(c)]
+        return "".join(ends) if all(apart(a + b) for a in ends for b in ends) else ""
+
+    def _letters(self, ids) -> dict[int, str]:
+        normal, before = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if before is None or any(m.strip().isalpha() for m in self.marks):
+            return {}
+        out = {}
+        for c in LETTERS:
+            if c.isalpha() and c.islower() and (normal is None or normal.normalize_str(f"a{c}a") == f"a{c}a"):
+                found = [p for p, _ in before.pre_tokenize_str(f"a{c}a")]
+                if len(found) == 1 and found[0][:1] == found[0][-1:] == "a":
+                    out[ord(c)] = found[0][1:-1]
+        every = "".join(map(chr, out))
+        together = normal is None or normal.normalize_str(every) == every
+        together = together and [p for p, _ in before.pre_tokenize_str(every)] == [every.translate(out)]
+        samples = [*every, *(a + b for a in every[:2] for b in every), every, every[::-1], "the", "word", "internationally", "a" * 300]
+        together = together and all([t.id for t in self.tokenizer.model.tokenize(w.translate(out))] == ids(w) for w in samples)
+        return out if together else {}
 
     def lowered(self, text: str) -> str:
         return text.lower() if self.no_case and text.isascii() and not any(m[:2] in text for m in self.marks) else text
 
     def encode(self, strings: list[str], dtype: str) -> Iterator[tuple[str, bytes]]:
         """(string, its ids), for blank-free strings."""
-        together = [w for w in strings if w and "|" not in w] if self.bar is not None else []
+        tokenize, letters, code, others = self.tokenizer.model.tokenize, self.letters, {"<u2": "H", "<u4": "I"}[dtype], []
+        for w in strings:
+            if self.is_word(w):  # one piece as it stands: only the model is left to do
+                found = [t.id for t in tokenize(w.translate(letters))]
+                yield w, struct.pack(f"<{len(found)}{code}", *found)
+            else:
+                others.append(w)
+        together = [w for w in others if w and "|" not in w] if self.bar is not None else []
         if together:
             flat = np.array(self.tokenizer.encode_batch_fast([" | ".join([*together, ""])], add_special_tokens=False)[0].ids, dtype)
             cuts = (np.flatnonzero(flat == self.bar) * flat.itemsize).tolist()
@@ -162,30 +206,34 @@ class Pieces:
                 raise ValueError("a separator is missing among the ids")
             raw = flat.tobytes()
             yield from zip(together, (raw[a:b] for a, b in zip([0, *(c + flat.itemsize for c in cuts)], cuts)), strict=True)
-        apart = strings if self.bar is None else [w for w in strings if not w or "|" in w]
+        apart = others if self.bar is None else [w for w in others if not w or "|" in w]
         for w, e in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False), strict=True):
             yield w, np.array(e.ids, dtype).tobytes()
 
 
 def _learn(missing: set[str], pieces: Pieces, known: dict[str, bytes], old: dict[str, bytes], dtype: str) -> list[str]:
     """Brings all of ``missing`` into ``known``; returns those too long to stay there."""
-    ended = []
-    for w in [*missing]:
+    new, ended, heads, runs = set(), [], [], []
+    for w in missing:
         if w in old:
             known[w] = old[w]
-            missing.discard(w)
-        elif w[-1:] in pieces.ends and w[-2:-1].isalnum():
-            ended.append(w)
-            missing.discard(w)
-            if w[:-1] not in known:
-                if w[:-1] in old:
-                    known[w[:-1]] = old[w[:-1]]
-                else:
-                    missing.add(w[:-1])
-    new = list(missing)
-    known.update(pieces.encode(new, dtype))
-    for w in ended:
-        known[w] = known[w[:-1]] + np.array(pieces.ends[w[-1]], dtype).tobytes()
+            continue
+        head = w.rstrip(pieces.ends)
+        if len(head) == len(w) or head[-1:] not in pieces.solid:
+            new.add(w)
+            continue
+        run = w[len(head):]
+        ended.append(w)
+        heads.append(head)
+        runs.append(run)
+        for part in (head, run):
+            if part in old:
+                known[part] = old[part]
+            elif part not in known:
+                new.add(part)
+    known.update(pieces.encode(list(new), dtype))
+    for w, head, run in zip(ended, heads, runs, strict=True):
+        known[w] = known[head] + known[run]
     return [w for w in chain(new, ended) if len(w) > KNOWN_CHARS]
 
 
@@ -205,12 +253,9 @@ def _encoded(texts: list[str | None], tokenizer, known: dict[str, bytes], old: d
                 text = text.replace(blank, " ")
             parts.append(text.split(" "))
             size, at = size + len(text), at + 1
-        found = [[*map(known.get, p)] for p in parts]
-        missing = {w for p, f in zip(parts, found, strict=True) if None in f for w, x in zip(p, f, strict=True) if x is None}
-        long = _learn(missing, pieces, known, old, dtype)
-        for p, f in zip(parts, found, strict=True):
-            ids = [known[w] if x is None else x for w, x in zip(p, f, strict=True)] if None in f else f
-            yield np.frombuffer(b"".join([*ids, end]), dtype)
+        long = _learn(set().union(*parts).difference(known), pieces, known, old, dtype)
+        for p in parts:
+            yield np.frombuffer(b"".join([*map(known.__getitem__, p), end]), dtype)
         for w in long:
             del known[w]
         if len(known) > KNOWN:

@@ -368,3 +368,18 @@ def test_ids_of_blank_separated_strings_are_those_of_the_whole_text():
     got = [list(x) for x in token_files._encoded(texts, tokenizer, known)]
     assert got == [[*tokenizer.encode(t or "", add_special_tokens=False).ids, token_files.END] for t in texts]
     assert all(len(w) <= token_files.KNOWN_CHARS for w in known)
+
+
+def test_words_are_encoded_once_whatever_marks_end_them(monkeypatch):
+    """A word with a run of marks behind it needs no encoding of its own; a word of letters goes to the model alone."""
+    from claimlake.llm import token_files
+
+    made = token_files.Encoder(token_files.vocabulary())
+    asked: list = []
+    encode = made.pieces.encode
+    monkeypatch.setattr(made.pieces, "encode", lambda strings, dtype: encode(asked.extend(strings) or strings, dtype))
+    texts = ["wordling wordling, wordling.*** élève élève,", "wordling.*** wordling?! '9x9?! <|endoftext|>. a|b a||", "don't. don'. x's' ². ,. |. İ. слово слово, \u0958."]
+    got = [x.tolist() for x in made.encode(texts)]
+    assert got == [[*made.tokenizer.encode(t, add_special_tokens=False).ids, token_files.END] for t in texts]
+    assert sum("wordling" in w for w in asked) == 1 and sum("élève" in w for w in asked) == 1
+    assert made.pieces.is_word("élève") and not made.pieces.is_word("x's") and not made.pieces.is_word("")
