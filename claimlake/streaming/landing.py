@@ -1,7 +1,7 @@
 """Landing by column name: files of one entity arrive with their columns in any order, with unknown or missing ones.
 
 A stream over the landing folder hands each new file to one micro-batch exactly once (the checkpoint knows the files).
-The batch finds the header line of each of its files, groups the files by header, and reads every group with Spark's CSV
+The batch reads the header line of each of its files and no more of them, groups the files by header, and reads every group with Spark's CSV
 parser under that header's own names.  Known columns are then taken by name; what is left over goes to a rescue document
 beside the row.  Each batch writes its own folder of the table, so a repeated batch replaces what it wrote before.
 
@@ -16,8 +16,10 @@ fields than its header keeps its raw text in the rescue document; a folder witho
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,19 +43,26 @@ def header_names(header: str) -> list[str]:
     return names
 
 
-def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file, header): the first line of each file; a split that does not begin a file is read but not looked at."""
-    lines = spark.read.text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    return (lines.withColumn("at", F.monotonically_increasing_id()).filter("block = 0")
-            .groupBy("file").agg(F.min_by("value", "at").alias("header")))
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, by Hadoop's file systems and codecs; None if it has none.  No more of it is read."""
+    hadoop, io, conf = spark._jvm.org.apache.hadoop, spark._jvm.java.io, spark._jsc.hadoopConfiguration()
+    at = hadoop.fs.Path(path)
+    stream = at.getFileSystem(conf).open(at)
+    try:
+        codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+        line = io.BufferedReader(io.InputStreamReader(stream if codec is None else codec.createInputStream(stream), "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return None if line is None else line.removeprefix("\ufeff")
 
 
 def layouts(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Files by header; as many rows reach the driver as the batch has files."""
+    """Files by header; the driver holds one line for each file of the batch."""
     out = defaultdict(list)
-    for r in file_headers(spark, paths).collect():
-        out[r.header].append(r.file)
+    with ThreadPoolExecutor(16) as pool:  # the waits are those of the file system
+        for path, header in zip(paths, pool.map(lambda path: first_line(spark, path), paths), strict=True):
+            if header is not None:
+                out[header].append(path.replace("file:/", "file:///", 1) if re.match("file:/[^/]", path) else path)
     if len(out) > MOST_LAYOUTS:
         raise ValueError(f"{len(out)} different headers in one batch; lower max_files_per_trigger")
     return dict(out)
@@ -70,9 +79,10 @@ def read_layout(spark: SparkSession, files: Sequence[str], header: str, columns:
     rows = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", _LINE).csv(list(files)))
     unknown = [_quoted(n).alias(n) for n in [*names, _LINE] if n not in columns]
-    document = F.to_json(F.struct(*unknown))  # leaves nulls out
+    # Leaves nulls out; rows without anything unknown, most of them, need no document made.
+    document = F.when(F.coalesce(*[_quoted(n) for n in [*names, _LINE] if n not in columns]).isNotNull(), F.to_json(F.struct(*unknown)))
     return rows.select(*[_quoted(c).alias(c) if c in names else F.lit(None).cast("string").alias(c) for c in columns],
-                       F.nullif(document, F.lit("{}")).alias(RESCUED), F.col("_metadata.file_path").alias(AUDIT_SOURCE_FILE))
+                       document.alias(RESCUED), F.col("_metadata.file_path").alias(AUDIT_SOURCE_FILE))
 
 
 def land_files(spark: SparkSession, paths: Sequence[str], entity: str) -> tuple[DataFrame | None, list[tuple]]:

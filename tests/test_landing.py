@@ -93,3 +93,25 @@ def test_an_empty_folder_lands_nothing(spark):
     base = scratch_path(spark, "landing-none")
     spark.createDataFrame([], "vehicle_id string").write.option("header", True).csv(f"{base}/in")
     landing.run_landing(spark, f"{base}/in", "vehicles", f"{base}/ckpt", f"{base}/out")
+
+
+def test_headers_take_no_job_and_files_may_be_compressed(spark, folder):
+    """Only the first line of each file is read to find the layouts: no Spark job runs over the lines."""
+    import gzip
+
+    _put(folder, "a.csv", "make,vehicle_id", *[f"Kia,a{i}" for i in range(50)])
+    _put(folder, "b c.csv", "\ufeffvehicle_id,make", "b0,Opel")
+    (folder / "in" / "c.csv.gz").write_bytes(gzip.compress(b"vehicle_id,make\nc0,Seat\n"))
+    _put(folder, "empty.csv")
+    paths = [f"file:{folder}/in/{name}" for name in ("a.csv", "b c.csv", "c.csv.gz", "empty.csv")]
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        found = landing.layouts(spark, paths)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {h: sorted(f.rsplit("/", 1)[1] for f in files) for h, files in found.items()} == {
+        "make,vehicle_id": ["a.csv"], "vehicle_id,make": ["b c.csv", "c.csv.gz"]}
+    _run(spark, folder)
+    rows = _rows(spark, folder)
+    assert len(rows) == 52 and rows["b0"].make == "Opel" and rows["c0"].make == "Seat"
