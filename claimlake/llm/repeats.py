@@ -5,12 +5,15 @@ of ``width`` bytes) is owned by the smallest hash among its ``ANCHOR``-byte subs
 wherever they stand.  Consecutive windows of one owner form a run (cut after ``SPAN`` windows); a run's context is all
 bytes of its windows.
 
-1. Runs, as (owner, hash of the context): equal contexts repeat as a whole.  Owners with a single context that does not
-   repeat within itself are done.
-2. The other owners' distinct contexts (one occurrence of each) are shuffled by owner.  A task builds an enhanced suffix
-   array (suffix ranks by doubling, longest common prefixes, left neighbours) over a block of whole owners, and a stack
-   scan finds the common-prefix intervals of ``width`` or more; those whose suffixes differ in their left byte are maximal
-   repeats, with all their occurrences.
+1. Runs, as (owner, hash of the context), are dealt out once, by owner: equal contexts repeat as a whole.  Owners with a
+   single context that does not repeat within itself are done.
+2. The other owners' distinct contexts (one occurrence of each) are shuffled by owner.  Equal windows hold their owner's
+   anchor at the same place, so a task sorts, over a block of whole owners, only the suffixes that begin with the anchor
+   and, read backwards, the prefixes that end before it (two sparse suffix arrays).  Their longest common prefixes give
+   how far any two contexts agree on either side of the anchor, and ``width`` bytes in all are a repeat.
+   An owner with more than ``ANCHORS`` places of its anchor (text of a short period) gets an enhanced suffix array of
+   all bytes instead (suffix ranks by doubling, longest common prefixes, left neighbours), whose common-prefix intervals
+   of ``width`` or more with different left bytes are the maximal repeats.
 3. An owner with more than ``HOT`` distinct contexts (a passage that very many documents share) would not fit one task:
    its windows are counted by 128-bit hash instead, an aggregation with partial sums, and all are judged the same way.
 
@@ -22,11 +25,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -35,6 +38,8 @@ from .text import mix, span_hashes, text_blocks
 #: Bytes of an anchor (long enough that texts seldom share one by chance), windows per run at most, contexts per owner in
 #: one task at most.
 ANCHOR, SPAN, HOT = 32, 168, 2048
+#: Places of an owner's anchor in its contexts that are compared in pairs at most.
+ANCHORS = 2048
 #: Bytes of one suffix array, unless a single owner has more; symbols of the first rank.
 BLOCK, HEAD = 1 << 20, 7
 
@@ -194,26 +199,110 @@ def block_repeats(contexts: list[bytes], counts: np.ndarray, width: int) -> tupl
             [(length, [(int(of[p]), int(p - first[of[p]])) for p in g]) for length, g in groups])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows (owner, row, start, n, bytes), sorted by owner, in blocks of whole owners."""
-    block, size, last = [], 0, None
+def _neighbours(group: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of fixed-width byte strings within their groups, and the bytes that each has in common with the one before
+    (0 for the first of a group)."""
+    keys = np.concatenate([group.astype(">u4")[:, None].view(np.uint8), strings], 1)
+    order = np.argsort(keys.view(f"S{keys.shape[1]}").ravel(), kind="stable")
+    keys = keys[order]
+    differs = keys[1:] != keys[:-1]
+    lcp = np.zeros(len(keys), np.int64)
+    lcp[1:] = np.maximum(np.where(differs.any(1), differs.argmax(1), keys.shape[1]) - 4, 0)
+    return order, lcp
+
+
+def anchored_repeats(data: np.ndarray, low: np.ndarray, high: np.ndarray, at: np.ndarray, group: np.ndarray,
+                     width: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes before and from each anchor (at ``at``, in a context [low, high)) lie in strings of ``width`` or more
+    that another anchor of its group has around it as well; 0 and 0 for none.
+
+    Suffixes from the anchors and reversed prefixes before them are sorted within groups.  What two anchors have in common
+    is the least common prefix of neighbours between them, kept as a running minimum over the suffixes' order and
+    looked up by doubled stretches in the prefixes' order."""
+    reach = width - ANCHOR
+    after, before = np.minimum(high - at, width), np.minimum(at - low, reach)
+    padded = np.concatenate([np.zeros(reach, np.uint8), data, np.zeros(width, np.uint8)])
+    views = np.lib.stride_tricks.sliding_window_view
+    right = np.where(np.arange(width) < after[:, None], views(padded, width)[at + reach], np.uint8(0))
+    left = np.where(np.arange(reach) < before[:, None], views(padded, reach)[at][:, ::-1], np.uint8(0))
+    order, common = _neighbours(group, right)
+    by_left, least = _neighbours(group, left)
+    rank = np.empty(len(at), np.int64)
+    rank[by_left] = np.arange(len(at))
+    rank, after, before = rank[order], after[order], before[order]
+    table = [least]
+    while len(at) >> len(table):
+        half = 1 << (len(table) - 1)
+        table.append(np.minimum(table[-1][:-half], table[-1][half:]))
+    far_before, far_after = np.zeros((2, len(at)), np.int64)
+    i, same, gap = np.arange(len(at)), np.full(len(at), width), 0
+    while len(i):
+        gap += 1
+        i, same = i[:np.searchsorted(i, len(at) - gap)], same[:np.searchsorted(i, len(at) - gap)]
+        same = np.minimum(same, common[i + gap])
+        on = same + before[i] >= width
+        i, same = i[on], same[on]
+        j = i + gap
+        a, b = np.minimum(rank[i], rank[j]) + 1, np.maximum(rank[i], rank[j]) + 1
+        level = np.log2(np.maximum(b - a, 1)).astype(np.int64)
+        span = np.zeros(len(i), np.int64)
+        for k in np.unique(level).tolist():
+            of = np.flatnonzero(level == k)
+            span[of] = np.minimum(table[k][a[of]], table[k][b[of] - (1 << k)])
+        span = np.minimum(np.minimum(span, before[i]), before[j])
+        ahead = np.minimum(np.minimum(same, after[i]), after[j])
+        found = np.flatnonzero(span + ahead >= width)
+        for x in (i[found], j[found]):
+            far_before[x], far_after[x] = np.maximum(far_before[x], span[found]), np.maximum(far_after[x], ahead[found])
+    out = np.zeros((2, len(at)), np.int64)
+    out[:, order] = far_before, far_after
+    return out[0], out[1]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by owner, in blocks of whole owners."""
+    held, size = [], 0
     for batch in batches:
-        for r in zip(*[batch.column(c).to_pylist() for c in ("owner", "row", "start", "n", "bytes")], strict=True):
-            if size >= BLOCK and r[0] != last:
-                yield block
-                block, size = [], 0
-            block.append(r)
-            size, last = size + len(r[4]), r[0]
-    if block:
-        yield block
+        held.append(batch)
+        size += batch.column("bytes").nbytes
+        if size < BLOCK:
+            continue
+        block = pa.concat_batches(held)
+        owner = block.column("owner").to_numpy()
+        cut = int(np.searchsorted(owner, owner[-1]))
+        if cut:
+            yield block.slice(0, cut)
+        held = [block.slice(cut)]
+        size = held[0].column("bytes").nbytes
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _judge(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for block in _blocks(batches):
-        context, start, length, _ = block_repeats([r[4] for r in block], np.array([r[3] for r in block]), width)
-        row, at = np.array([r[1] for r in block], np.int64)[context], np.array([r[2] for r in block], np.int64)[context]
-        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(at + start), pa.array(at + start + length)],
-                                         names=["row", "start", "end"])
+        owner, row, start, n = (block.column(c).to_numpy() for c in ("owner", "row", "start", "n"))
+        t = next(text_blocks(block.column("bytes"), 1 << 62))
+        group = np.cumsum(np.append(0, owner[1:] != owner[:-1]))
+        at = np.arange(len(t.data) - ANCHOR + 1)
+        at = np.flatnonzero(span_hashes(t.data, at, at + ANCHOR) == np.repeat(owner.view(np.uint64), t.sizes)[:len(at)])
+        of = np.searchsorted(t.offsets, at, "right") - 1
+        inside = at + ANCHOR <= t.offsets[of + 1]
+        at, of = at[inside], of[inside]
+        many = np.bincount(group[of], minlength=group[-1] + 1) > ANCHORS
+        few = ~many[group[of]]
+        at, of = at[few], of[few]
+        low, high = t.offsets[of], t.offsets[of + 1]
+        before, after = anchored_repeats(t.data, low, high, at, group[of], width)
+        hit = np.flatnonzero(after)
+        yield _spans(row[of[hit]], (start[of] + at - low - before)[hit], (before + after)[hit])
+        for g in np.flatnonzero(many):
+            own = np.flatnonzero(group == g)
+            context, begin, length, _ = block_repeats([t.data[t.offsets[i]:t.offsets[i + 1]].tobytes() for i in own], n[own], width)
+            yield _spans(row[own][context], start[own][context] + begin, length)
+
+
+def _spans(row: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(row), pa.array(start), pa.array(start + length)], names=["row", "start", "end"])
 
 
 def _lefts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,20 +390,17 @@ def _branch(batches: Iterator[pa.RecordBatch], skip: int, size: int, width: int)
 
 def _contexts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out, size = [], 0
-        for row, text, asked in zip(*[batch.column(c) for c in ("row", "text", "asked")], strict=True):
-            text = text.as_py()
-            for a in asked.as_py():
-                piece = text[a["start"]:a["start"] + a["n"] - 1 + width]
-                out.append((a["owner"], row.as_py(), a["start"], a["n"], piece))
-                size += len(piece)
-            if size > 1 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)],
-                                                 names=["owner", "row", "start", "n", "bytes"])
-                out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)],
-                                             names=["owner", "row", "start", "n", "bytes"])
+        for row, text, asked in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("asked"), strict=True):
+            data = np.frombuffer(text.as_buffer(), np.uint8)
+            fields = [np.asarray(asked.values.field(c)) for c in ("owner", "start", "n")] + [asked.values.field("hot").to_numpy(False)]
+            for i in range(0, len(fields[0]), 2048):
+                owner, start, n, hot = (f[i:i + 2048] for f in fields)
+                offsets = np.append(0, np.cumsum(n - 1 + width))
+                at = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], np.diff(offsets))
+                pieces = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[at])])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(owner), pa.array(np.full(len(n), row)), pa.array(start), pa.array(n), pieces, pa.array(hot)],
+                    names=["owner", "row", "start", "n", "bytes", "hot"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -360,6 +446,17 @@ def merged(spans: pa.Scalar) -> list[tuple[int, int]]:
     return list(zip(start[np.append(0, cut + 1)].tolist(), end[np.append(cut, len(end) - 1)].tolist(), strict=True))
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """:func:`staged`, after which the shuffle files of ``df`` are deleted: only the staged rows are read again."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return staged(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 class Repeats:
     """The repeats of at least ``width`` bytes of ``docs`` (doc_id, text)."""
 
@@ -369,37 +466,44 @@ class Repeats:
         text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
         self.base = staged(docs.select(F.monotonically_increasing_id().alias("row"),
                                        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")), "texts")
-        runs_ = staged(self.base.select("row", "text").filter(F.octet_length("text") >= width).mapInArrow(
-            lambda it: _runs(it, width), "owner long, context long, row long, start long, n long, twice int"), "runs")
+        runs_ = self.base.select("row", "text").filter(F.octet_length("text") >= width).mapInArrow(
+            lambda it: _runs(it, width), "owner long, context long, row long, start long, n long, twice int")
+        # One exchange and one sort serve all that is asked of an owner's runs: a run beside one of its context stands whole
+        # elsewhere, and the first of each context stands for it.
+        own = Window.partitionBy("owner")
+        near = own.orderBy("context", "row", "start")
+        marked = runs_.repartition(self.parts, "owner").withColumns({
+            "first": ~F.lag("context").over(near).eqNullSafe(F.col("context")),
+            "last": ~F.lead("context").over(near).eqNullSafe(F.col("context"))}).withColumns({
+                "contexts": F.sum(F.col("first").cast("long")).over(own), "most": F.max("twice").over(own)})
         # Owners of one run that does not repeat within itself are done.
-        shared = (runs_.groupBy("owner").agg(F.count("*").alias("m"), F.max("twice").alias("t"))
-                  .filter("m > 1 or t > 0").select("owner"))
-        self.open = staged(runs_.join(shared, "owner", "left_semi"), "shared")
-        classes = self.open.groupBy("owner", "context").agg(
-            F.count("*").alias("copies"), F.max("twice").alias("twice"), F.min(F.struct("row", "start", "n")).alias("one"))
-        self.classes = staged(classes, "classes")
-        owners = (self.classes.groupBy("owner").agg(F.count("*").alias("m"), F.max("twice").alias("t"))
-                  .filter("m > 1 or t > 0").select("owner", (F.col("m") > HOT).alias("hot")))
-        self.reps = self.classes.join(owners, "owner").select("owner", "one.row", "one.start", "one.n", "hot")
-
-    def contexts(self, hot: bool) -> DataFrame:
-        """(owner, row, start, n, bytes): one occurrence of every context of the owners that need looking into."""
+        self.open = _staged(marked.filter("not (first and last) or contexts > 1 or most > 0").select(
+            "owner", "context", "row", "start", "n", "twice", F.expr("not (first and last)").alias("whole"),
+            F.expr("first and (contexts > 1 or most > 0)").alias("look"), (F.col("contexts") > HOT).alias("hot")), "shared")
+
+    @cached_property
+    def classes(self) -> DataFrame:
+        """(owner, context, copies, twice, one): the distinct contexts and one occurrence of each."""
+        return staged(self.open.groupBy("owner", "context").agg(
+            F.count("*").alias("copies"), F.max("twice").alias("twice"), F.min(F.struct("row", "start", "n")).alias("one")), "classes")
+
+    @cached_property
+    def contexts(self) -> DataFrame:
+        """(owner, row, start, n, bytes, hot): one occurrence of every context of the owners that need looking into."""
         width = self.width
-        asked = (self.reps.filter(F.col("hot") == hot).groupBy("row")
-                 .agg(F.collect_list(F.struct("owner", "start", "n")).alias("asked")))
-        return (self.base.select("row", "text").join(asked, "row").select("row", "text", "asked")
-                .mapInArrow(lambda it: _contexts(it, width), "owner long, row long, start long, n long, bytes binary"))
+        asked = self.open.filter("look").groupBy("row").agg(F.collect_list(F.struct("owner", "start", "n", "hot")).alias("asked"))
+        return _staged(self.base.select("row", "text").join(asked, "row").select("row", "text", "asked").mapInArrow(
+            lambda it: _contexts(it, width), "owner long, row long, start long, n long, bytes binary, hot boolean"), "contexts")
 
     def by_owner(self) -> DataFrame:
-        return self.contexts(False).repartition(self.parts, "owner").sortWithinPartitions("owner")
+        return self.contexts.filter("not hot").drop("hot").repartition(self.parts, "owner").sortWithinPartitions("owner")
 
     def spans(self) -> DataFrame:
         """(row, start, end): spans that together cover every byte of a repeated string, and no other."""
         width, schema = self.width, "row long, start long, end long"
-        whole = (self.open.join(self.classes.filter("copies > 1").select("owner", "context"), ["owner", "context"])
-                 .select("row", "start", (F.col("start") + F.col("n") - 1 + width).alias("end")))
+        whole = self.open.filter("whole").select("row", "start", (F.col("start") + F.col("n") - 1 + width).alias("end"))
         some = self.by_owner().mapInArrow(lambda it: _judge(it, width), schema)
-        windows = self.contexts(True).mapInArrow(lambda it: _windows(it, width), "h1 long, h2 long, row long, start long")
+        windows = self.contexts.filter("hot").mapInArrow(lambda it: _windows(it, width), "h1 long, h2 long, row long, start long")
         often = windows.groupBy("h1", "h2").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
         many = windows.join(often, ["h1", "h2"]).select("row", "start", (F.col("start") + width).alias("end"))
         return whole.unionByName(some).unionByName(many)
@@ -457,8 +561,7 @@ class Repeats:
 
     def removed(self) -> DataFrame:
         """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-        # Texts are dealt out by row as for the contexts, by the same columns: one exchange serves both.
-        found = self.spans().groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        found = _staged(self.spans(), "spans").groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
         done = (self.base.select("row", "text").join(found, "row", "left").select("row", "text", "spans")
                 .mapInArrow(_remove, "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
         return self.base.select("row", "doc_id").join(done, "row").drop("row")
